@@ -40,7 +40,9 @@ class TickConfig:
     train_fraction: float = 0.8
     num_trees: int = 50
     seed: int = 17
-    fit_partitions: int = 8
+    # Partitions of the training rows; None takes the session's shuffle partitions. A seed repeats
+    # its model only on the same number.
+    fit_partitions: int | None = None
 
     # Length of the time slices that ordered per-symbol calculations run on.
     tick_slice_seconds: int = 3600

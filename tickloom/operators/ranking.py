@@ -8,10 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Up to this many rows per key the optimizer limits a window before the shuffle by itself.
+LIMITED_BEFORE_SHUFFLE = 1000
+SPREAD = 64
+
+
 def newest(df: DataFrame, n: int, time: str, ties: Sequence[Column] = (), key: str = "symbol") -> DataFrame:
-    """The latest ``n`` rows of every key. The limit also runs before the shuffle, so a key sends
-    at most ``n`` rows per task."""
-    by_time = Window.partitionBy(key).orderBy(F.desc(time), *ties)
+    """The latest ``n`` rows of every key.
+
+    A small limit also runs before the shuffle, so a key sends at most ``n`` rows per task. For a
+    large one a first round keeps ``n`` rows per key and hash of the time, which spreads a hot key.
+    """
+    if n > LIMITED_BEFORE_SHUFFLE:
+        share = F.pmod(F.xxhash64(time), F.lit(SPREAD))
+        df = _first(df.withColumn("_share", share), n, [key, "_share"], time, ties).drop("_share")
+    return _first(df, n, [key], time, ties)
+
+
+def _first(df: DataFrame, n: int, keys: list[str], time: str, ties: Sequence[Column]) -> DataFrame:
+    by_time = Window.partitionBy(*keys).orderBy(F.desc(time), *ties)
     return df.withColumn("_nth", F.row_number().over(by_time)).where(F.col("_nth") <= n).drop("_nth")
 
 

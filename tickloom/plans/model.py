@@ -40,9 +40,10 @@ def fit(train: DataFrame, cfg: TickConfig = TickConfig()) -> PipelineModel:
     The bagging draws per partition, so a fixed seed repeats only on a fixed layout: hash
     partitions of a fixed number, sorted inside. Hashing the time too keeps a hot symbol spread.
     """
+    shuffle_partitions = train.sparkSession.conf.get("spark.sql.shuffle.partitions")
     laid_out = (
         train.select("symbol", "window_start", *FEATURE_COLUMNS, "label")
-        .repartition(cfg.fit_partitions, "symbol", "window_start")
+        .repartition(cfg.fit_partitions or int(shuffle_partitions), "symbol", "window_start")
         .sortWithinPartitions("symbol", "window_start")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

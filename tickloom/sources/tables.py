@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tickloom.config import TickConfig
 from tickloom.schemas import PARTITION_COLUMNS, TABLES
@@ -42,19 +43,21 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         reader = self.spark.read.format(self.cfg.table_format)
         if not self._delta:
-            reader = reader.schema(TABLES[name])
-        return reader.load(self.cfg.path(name))
+            reader = reader.schema(_stored_schema(name))
+        return reader.load(self.cfg.path(name)).select(*TABLES[name].names)
 
     def read_stream(self, name: str) -> DataFrame:
-        """The table as a stream, from its beginning."""
+        """The table as a stream, from its beginning.
+
+        There is no cap per batch here: files of one batch hold different symbols over the same
+        time, and taking them one by one would let the first move the watermark past the others.
+        """
         reader = self.spark.readStream.format(self.cfg.table_format)
         if self._delta:
             reader = reader.options(startingVersion="0", ignoreChanges="true", ignoreDeletes="true")
         else:
-            reader = reader.schema(TABLES[name])
-        if self.cfg.max_per_batch:
-            reader = reader.option("maxFilesPerTrigger", self.cfg.max_per_batch)
-        return reader.load(self.cfg.path(name))
+            reader = reader.schema(_stored_schema(name))
+        return reader.load(self.cfg.path(name)).select(*TABLES[name].names)
 
     def append(self, name: str, df: DataFrame) -> None:
         """Append a batch.
@@ -106,3 +109,13 @@ class Tables:
     def describe(self, name: str) -> DataFrame:
         """Column names and types of a view."""
         return self.spark.sql(f"DESCRIBE {name}").select("col_name", "data_type")
+
+
+def _stored_schema(name: str) -> StructType:
+    """The declared schema with the partition columns last, where a file scan puts them. A stream
+    that starts on an empty table knows no partitions yet; in any other order its columns would
+    change places when the first files arrive."""
+    declared = TABLES[name]
+    partitions = PARTITION_COLUMNS[name]
+    data = [f for f in declared.fields if f.name not in partitions]
+    return StructType(data + [declared[c] for c in partitions])
