@@ -1,3 +1,4 @@
+from tickloom.functions.parsed import fields_once, once
 from tickloom.functions.signals import (
     risk_band,
     signal_band,
@@ -16,7 +17,9 @@ from tickloom.functions.ticks import (
 
 __all__ = [
     "exact_mean",
+    "fields_once",
     "is_anomaly",
+    "once",
     "price_change",
     "price_change_pct",
     "risk_band",

@@ -16,10 +16,10 @@ Two kinds of input:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.session import stage
@@ -80,55 +80,88 @@ class Slices:
     def where(self, condition: Column) -> Slices:
         return Slices(self._df.where(condition), self._order)
 
-    def select(self, *columns: Column | str) -> Slices:
-        return Slices(self._df.select(*columns, *CELL), self._order)
-
     def with_columns(self, columns: dict[str, Column]) -> Slices:
-        return Slices(self._df.withColumns(columns), self._order)
+        """Add or replace columns; edge values of replaced ones are forgotten."""
+        edges = None if set(columns) & set(self.columns) else self._edges
+        return Slices(self._df.withColumns(columns), self._order, edges)
 
     def lag(self, column: str, name: str) -> Slices:
         """``name`` = ``column`` of the previous row of the key, NULL on its first row."""
-        return self._shift(column, name, forward=False)
+        return self._shift(column, name, F.lag, "last")
 
     def lead(self, column: str, name: str) -> Slices:
         """``name`` = ``column`` of the next row of the key, NULL on its last row."""
-        return self._shift(column, name, forward=True)
+        return self._shift(column, name, F.lead, "first")
 
     def percent_rank(self, name: str) -> Slices:
         """(rank - 1) / (rows of the key - 1), 0.0 for a single row."""
-        edges = self._edges if self._edges is not None else _edges(self._df, self._order, [])
-        slices = Window.partitionBy(KEY).orderBy(SLICE, PART)
-        offsets = edges.select(
-            *CELL,
-            F.coalesce(
-                F.sum("_n").over(slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_before"),
-            F.sum("_n").over(Window.partitionBy(KEY)).alias("_total"),
+        total = F.sum("_n").over(Window.partitionBy(KEY))
+        return self._with_edges([])._share(F.rank().over(self._rows) - 1, total, name)
+
+    def lead_and_share(self, column: str, lead: str, complete: Column, name: str) -> Slices:
+        """``lead`` of ``column``, and in ``name`` the ``percent_rank`` a row has once only
+        ``complete`` rows with a next row are kept. For one row per key and time.
+
+        The same as a lead, a filter and a ``percent_rank``, but with one table of edges, so the
+        frame is computed for edges once and not once per step.
+        """
+        flagged = self._df.withColumn("_complete", complete)
+        edges = _edges(flagged, self._order, [column, "_complete"], F.count_if("_complete"))
+        key = _slices().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # the last row of a key has no next row and does not count
+        total = F.sum("_n").over(key) - F.last("_last__complete").over(key).cast("int")
+        earlier = self._rows.rowsBetween(Window.unboundedPreceding, -1)
+        return (
+            Slices(flagged, self._order, edges)
+            .lead(column, lead)
+            ._share(F.count_if("_complete").over(earlier), total, name)
+            .where(F.col("_complete") & F.col(lead).isNotNull())
+            ._drop("_complete")
         )
-        inside = Window.partitionBy(*CELL).orderBy(*self._order)
-        ranked = self._df.withColumn("_rank", F.rank().over(inside)).join(offsets, CELL, "left")
-        earlier = (F.col("_before") + F.col("_rank") - 1).cast("double")
-        share = F.coalesce(F.try_divide(earlier, (F.col("_total") - 1).cast("double")), F.lit(0.0))
-        out = ranked.withColumn(name, share).drop("_rank", "_before", "_total")
-        return Slices(out, self._order)
-
-    def _shift(self, column: str, name: str, forward: bool) -> Slices:
-        edges = self._edges
-        if edges is None or f"_last_{column}" not in edges.columns:
-            edges = _edges(self._df, self._order, [column])
-        slices = Window.partitionBy(KEY).orderBy(SLICE, PART)
-        inside = Window.partitionBy(*CELL).orderBy(*self._order)
-        if forward:
-            border = F.lead(f"_first_{column}").over(slices)
-            near, at_border = F.lead(column).over(inside), F.lead(F.lit(True)).over(inside).isNull()
-        else:
-            border = F.lag(f"_last_{column}").over(slices)
-            near, at_border = F.lag(column).over(inside), F.lag(F.lit(True)).over(inside).isNull()
-        shifted = self._df.withColumns({"_near": near, "_at_border": at_border})
-        across = edges.select(*CELL, border.alias("_across"))
+
+    @property
+    def _rows(self) -> WindowSpec:
+        return Window.partitionBy(*CELL).orderBy(*self._order)
+
+    def _shift(self, column: str, name: str, step: Callable[..., Column], end: str) -> Slices:
+        at_border = step(F.lit(True)).over(self._rows).isNull()
         value = F.when(F.col("_at_border"), F.col("_across")).otherwise(F.col("_near"))
-        out = shifted.join(across, CELL, "left").withColumn(name, value)
-        return Slices(out.drop("_near", "_at_border", "_across"), self._order, self._edges)
+        return (
+            self._with_edges([column])
+            .with_columns({"_near": step(column).over(self._rows), "_at_border": at_border})
+            ._across({"_across": step(f"_{end}_{column}").over(_slices())})
+            .with_columns({name: value})
+            ._drop("_near", "_at_border", "_across")
+        )
+
+    def _share(self, inside: Column, total: Column, name: str) -> Slices:
+        before = F.sum("_n").over(_slices().rowsBetween(Window.unboundedPreceding, -1))
+        earlier = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_inside")
+        share = F.try_divide(earlier.cast("double"), (F.col("_total") - 1).cast("double"))
+        return (
+            self.with_columns({"_inside": inside})
+            ._across({"_before": before, "_total": total})
+            .with_columns({name: F.coalesce(share, F.lit(0.0))})
+            ._drop("_inside", "_before", "_total")
+        )
+
+    def _across(self, columns: dict[str, Column]) -> Slices:
+        """Window expressions over the edges of a key, joined to the rows of each slice."""
+        edges = self._edges.select(*CELL, *(c.alias(name) for name, c in columns.items()))
+        return Slices(self._df.join(edges, CELL, "left"), self._order, self._edges)
+
+    def _drop(self, *columns: str) -> Slices:
+        return Slices(self._df.drop(*columns), self._order, self._edges)
+
+    def _with_edges(self, carry: Sequence[str]) -> Slices:
+        if self._edges is not None and {f"_last_{c}" for c in carry} <= set(self._edges.columns):
+            return self
+        return Slices(self._df, self._order, _edges(self._df, self._order, carry))
+
+
+def _slices() -> WindowSpec:
+    """The edges of a key in order."""
+    return Window.partitionBy(KEY).orderBy(SLICE, PART)
 
 
 def _cut(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> DataFrame:
@@ -143,16 +176,20 @@ def _cut(df: DataFrame, keys: Sequence[str], time: str, seconds: int) -> DataFra
     )
 
 
-def _edges(cut: DataFrame, order: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """One row per slice: row count, and the carried columns of its first and last row."""
+def _edges(
+    cut: DataFrame, order: Sequence[str], carry: Sequence[str], count: Column | None = None
+) -> DataFrame:
+    """One row per slice: its row count (or ``count``), and the carried columns of its first and
+    last row."""
     if len(order) == 1:
         # a primitive ordering keeps this a hash aggregation
         at = F.coalesce(F.unix_micros(F.col(order[0]).cast("timestamp")), F.lit(BEFORE_ALL_TIME))
     else:
         at = F.struct(*order)
+    rows = F.count("*") if count is None else count
     ends = [F.min_by(c, at).alias(f"_first_{c}") for c in carry]
     ends += [F.max_by(c, at).alias(f"_last_{c}") for c in carry]
-    return cut.groupBy(*CELL).agg(F.count("*").alias("_n"), *ends)
+    return cut.groupBy(*CELL).agg(rows.alias("_n"), *ends)
 
 
 def _cut_hot(

@@ -25,14 +25,13 @@ def features(candles: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
 def labelled(candles: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
     """Features plus ``next_price`` and ``label`` (1.0 where the price rises next, else 0.0). Rows
     with a NULL or NaN anywhere go, which includes each symbol's last row."""
-    return _labelled(candles, cfg).frame()
+    return _labelled(candles, cfg).drop("rank")
 
 
 def time_split(candles: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
     """Labelled rows with ``rank`` (share of the symbol's time line) and ``split``."""
-    ranked = _labelled(candles, cfg).percent_rank("rank").frame()
     side = F.when(F.col("rank") <= cfg.train_fraction, TRAIN).otherwise(TEST)
-    return ranked.withColumn("split", side)
+    return _labelled(candles, cfg).withColumn("split", side)
 
 
 def split_counts(split: DataFrame) -> DataFrame:
@@ -51,11 +50,12 @@ def _features(candles: DataFrame, cfg: TickConfig) -> Slices:
     return derived.where(_present(derived, ["log_returns", "log_volume", "avg_price"]))
 
 
-def _labelled(candles: DataFrame, cfg: TickConfig) -> Slices:
-    ahead = _features(candles, cfg).lead("avg_price", "next_price")
+def _labelled(candles: DataFrame, cfg: TickConfig) -> DataFrame:
+    rows = _features(candles, cfg)
+    complete = _present(rows, rows.columns)
+    ahead = rows.lead_and_share("avg_price", "next_price", complete, "rank").frame()
     rises = F.col("next_price") > F.col("avg_price")
-    full = ahead.with_columns({"label": F.when(rises, 1.0).otherwise(0.0)})
-    return full.where(_present(full, full.columns))
+    return ahead.withColumn("label", F.when(rises, 1.0).otherwise(0.0))
 
 
 def _present(cut: Slices, columns: Iterable[str]) -> Column:

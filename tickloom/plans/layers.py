@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.config import TickConfig
-from tickloom.functions import is_anomaly, price_change, price_change_pct, spread, to_event_time
+from tickloom.functions import (
+    fields_once,
+    is_anomaly,
+    price_change,
+    price_change_pct,
+    spread,
+    to_event_time,
+)
 from tickloom.operators.candles import candles
 from tickloom.operators.dedup import first_arrivals
 from tickloom.schemas import TICK
@@ -23,9 +30,7 @@ def decode(raw: DataFrame) -> DataFrame:
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("ingestion_timestamp"),
     )
-    record = text.select(
-        F.from_json("value", TICK).alias("record"), "ingestion_timestamp", "value"
-    ).select("record.*", "ingestion_timestamp", "value")
+    record = text.select(fields_once(F.from_json("value", TICK)), "ingestion_timestamp", "value")
     reason = (
         F.when(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull(), F.lit(None))
         .when(F.get_json_object("value", "$").isNull(), "not_json")

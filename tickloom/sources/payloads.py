@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions import fields_once, once
+
 SERIES_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -21,7 +23,7 @@ def ticks_from_series(
         F.get_json_object(payload, f"$['Time Series ({interval})']"),
         "map<string,map<string,string>>",
     )
-    newest = df.select(F.col(symbol).alias("symbol"), series.alias("_series")).select(
+    newest = df.select(F.col(symbol).alias("symbol"), once(series).alias("_series")).select(
         "symbol", "_series", F.array_max(F.map_keys("_series")).alias("_time")
     )
     entry = newest.select("symbol", "_time", F.try_element_at("_series", F.col("_time")).alias("_entry"))
@@ -29,16 +31,15 @@ def ticks_from_series(
     def field(name: str, kind: str) -> Column:
         return F.try_element_at("_entry", F.lit(name)).try_cast(kind)
 
-    ticks = entry.select(
-        "symbol",
+    record = F.struct(
         field("4. close", "double").alias("price"),
         field("1. open", "double").alias("open"),
         field("2. high", "double").alias("high"),
         field("3. low", "double").alias("low"),
         field("5. volume", "bigint").alias("volume"),
         F.try_to_timestamp("_time", F.lit(SERIES_TIME)).alias("timestamp"),
-        F.lit(source).alias("source"),
     )
+    ticks = entry.select("symbol", fields_once(record), F.lit(source).alias("source"))
     return ticks.na.drop(subset=["price", "open", "high", "low", "volume", "timestamp"])
 
 
@@ -49,7 +50,7 @@ def ticks_from_quotes(df: DataFrame, payload: str = "payload", symbol: str = "sy
     text where a number belongs, gives no row."""
     quotes = df.select(
         F.col(symbol).alias("symbol"),
-        F.from_json(payload, "map<string,string>").alias("_quote"),
+        once(F.from_json(payload, "map<string,string>")).alias("_quote"),
     ).where(F.col("_quote").isNotNull())
 
     def text(name: str) -> Column:

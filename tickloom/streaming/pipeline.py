@@ -54,10 +54,14 @@ class LayeredPipeline:
             self.stop()
 
     def run_available(self) -> None:
-        """Work off what is there, layer after layer, and end."""
+        """Work off what is there, layer after layer, and end. Rejects run beside the layers."""
         try:
-            for layer in self.layer_names:
+            if REJECTS in self.layer_names:
+                self.run_layer(REJECTS, available_now=True)
+            for layer in LAYERS:
                 self.run_layer(layer, available_now=True).awaitTermination()
+            for query in self.queries.values():
+                query.awaitTermination()
         finally:
             self.stop()
 
