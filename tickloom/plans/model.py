@@ -16,7 +16,7 @@ from tickloom.config import TickConfig
 from tickloom.functions import signal_band
 from tickloom.operators.ranking import newest_with_ties
 from tickloom.plans.features import FEATURE_COLUMNS, TEST, TRAIN, features, split_counts, time_split
-from tickloom.session import stage
+from tickloom.session import stage, temporary_stages
 
 
 @dataclass(frozen=True)
@@ -64,11 +64,12 @@ def train_and_evaluate(
     candles: DataFrame, cfg: TickConfig = TickConfig(), model_path: str | None = None
 ) -> tuple[PipelineModel, TrainingReport]:
     """Split by time, fit on the earlier part, measure on the later part, save when asked to."""
-    split = stage(time_split(candles, cfg), "split")
-    counts = {r["split"]: r["row_count"] for r in split_counts(split).collect()}
-    model = fit(split.where(F.col("split") == TRAIN), cfg)
-    scored = model.transform(split.where(F.col("split") == TEST))
-    report = TrainingReport(counts.get(TRAIN, 0), counts.get(TEST, 0), accuracy(scored).first()[0])
+    with temporary_stages(candles.sparkSession):
+        split = stage(time_split(candles, cfg), "split")
+        counts = {r["split"]: r["row_count"] for r in split_counts(split).collect()}
+        model = fit(split.where(F.col("split") == TRAIN), cfg)
+        scored = model.transform(split.where(F.col("split") == TEST))
+        report = TrainingReport(counts.get(TRAIN, 0), counts.get(TEST, 0), accuracy(scored).first()[0])
     if model_path:
         save_model(model, model_path)
     return model, report

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_scope = threading.local()
 
 
 def build_session(app_name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,9 +59,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Used where a frame feeds several branches: it cuts the lineage, survives lost executors,
-    and the scan keeps column pruning, push-down and true size statistics.
+    and the scan keeps column pruning, push-down and true size statistics. The files stay as long
+    as frames may read them; ``temporary_stages`` ends that.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    paths = getattr(_scope, "paths", None)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what this thread stages inside the block when it ends. For work that is finished
+    inside it, such as one streaming batch."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import TickConfig
 from tickloom.operators.ordered import Slices
-from tickloom.session import stage
+from tickloom.session import stage, temporary_stages
 
 STATE = "symbol string, last_time timestamp"
 
@@ -36,6 +36,10 @@ class RepeatFilter:
         return writer.trigger(processingTime=self.cfg.processing_time).start()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        with temporary_stages(self.spark):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         columns = batch.columns
         batch = stage(batch.withColumn("_row", F.lit(True)), "quotes")
         state = self._state_before(batch_id)
