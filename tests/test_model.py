@@ -87,3 +87,19 @@ def test_stream_scoring_is_idempotent(spark, trained, tmp_path):
     assert tables.read("predictions").groupBy("model_id").count().count() == 2
     append_latest(tables, fitted, "manual", 7)
     assert tables.read("predictions").where("model_id = 'manual'").count() == 2
+
+
+@pytest.mark.parametrize("lookback", [1, 86400])
+def test_scoring_looks_back_as_far_as_needed(spark, trained, tmp_path, lookback):
+    fitted, _, _ = trained
+    cfg = TickConfig(base_path=str(tmp_path / "lake"), score_lookback_seconds=lookback)
+    tables = Tables(spark, cfg)
+    # B's newest candles have no return: the price was zero or the volume is unknown
+    worn = alternating(spark, ("B",), n=2, start=20).withColumn("avg_price", F.lit(0.0))
+    tables.append("gold", alternating(spark, n=20).unionByName(worn))
+    tables.bootstrap("predictions")
+    StreamScorer(tables, fitted, "m").process(tables.read("gold"), 0)
+    got = tables.read("predictions").select("symbol", "window_start", "probability").collect()
+    want = model.score_latest(fitted, tables.read("gold"), cfg).select("symbol", "window_start", "probability")
+    assert sorted(got) == sorted(want.collect())
+    assert sorted(r["window_start"] for r in got) == [T0 + timedelta(minutes=19)] * 2

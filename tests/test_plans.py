@@ -82,3 +82,8 @@ def test_no_python_workers_in_batch_queries(gold):
     for frame in frames:
         text = plan(frame)
         assert "Python" not in text and "Arrow" not in text and "NestedLoop" not in text
+
+
+def test_appends_split_a_hot_symbol(gold):
+    text = plan(gold.hint("rebalance", "symbol"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text

@@ -44,6 +44,9 @@ class TickConfig:
     # its model only on the same number.
     fit_partitions: int | None = None
 
+    # Stored candles read first when a batch is scored; older ones only for symbols that need them.
+    score_lookback_seconds: int = 86400
+
     # Length of the time slices that ordered per-symbol calculations run on.
     tick_slice_seconds: int = 3600
     candle_slice_seconds: int = 86400

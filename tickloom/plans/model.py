@@ -94,6 +94,11 @@ def score(model: PipelineModel, feature_rows: DataFrame, cfg: TickConfig = TickC
     )
 
 
+def latest_features(candles: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
+    """The newest feature row of every symbol."""
+    return newest_with_ties(features(candles, cfg))
+
+
 def score_latest(model: PipelineModel, candles: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
     """Signals for the newest feature row of every symbol."""
-    return score(model, newest_with_ties(features(candles, cfg)), cfg)
+    return score(model, latest_features(candles, cfg), cfg)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.plans.model import score_latest
+from tickloom.plans.model import latest_features, score, score_latest
+from tickloom.session import stage, temporary_stages
 from tickloom.sources.tables import Tables
 
 
@@ -33,36 +36,57 @@ class StreamScorer:
         return writer.trigger(processingTime=cfg.processing_time).start()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Features need earlier candles, so they are rebuilt from the stored ones, of the batch's
-        symbols only: the join on the partition column prunes the other folders."""
-        touched = batch.select("symbol").distinct()
-        candles = self.tables.read("gold").join(touched, "symbol", "left_semi")
+        with temporary_stages(self.tables.spark):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
+        rows = self._latest_features(batch)
+        if rows is None:
+            return
         known = (
             self.tables.read("predictions")
             .where((F.col("model_id") == self.model_id) & (F.col("batch_id") < batch_id))
             .select("symbol", "window_start")
         )
-        fresh = score_latest(self.model, candles, self.tables.cfg).join(
-            known, ["symbol", "window_start"], "left_anti"
-        )
-        stamped = fresh.withColumns(
-            {
-                "predicted_at": F.current_timestamp(),
-                "model_id": F.lit(self.model_id),
-                "batch_id": F.lit(batch_id).cast("bigint"),
-            }
-        )
-        self.tables.replace_batch("predictions", stamped)
+        fresh = rows.join(known, ["symbol", "window_start"], "left_anti")
+        scored = score(self.model, fresh, self.tables.cfg)
+        self.tables.replace_batch("predictions", _stamped(scored, self.model_id, batch_id))
+
+    def _latest_features(self, batch: DataFrame) -> DataFrame | None:
+        """The newest feature row of the batch's symbols, from the stored candles.
+
+        Candles older than the look-back are skipped by their file statistics. That changes nothing
+        for a symbol with a feature row inside it; the others are computed from all their candles,
+        where the join on the partition column prunes the folders of other symbols.
+        """
+        cfg = self.tables.cfg
+        newest = batch.groupBy("symbol").agg(F.max("window_start").alias("newest"))
+        touched = stage(newest, "touched")
+        oldest = touched.agg(F.min("newest")).first()[0]
+        if oldest is None:
+            return None
+        since = oldest - timedelta(seconds=cfg.score_lookback_seconds)
+        candles = self.tables.read("gold")
+        recent = candles.where(F.col("window_start") >= since).join(touched, "symbol", "left_semi")
+        found = stage(latest_features(recent, cfg), "recent")
+        missing = stage(touched.join(found, "symbol", "left_anti"), "missing")
+        if missing.isEmpty():
+            return found
+        rest = latest_features(candles.join(missing, "symbol", "left_semi"), cfg)
+        return found.unionByName(rest)
 
 
 def append_latest(tables: Tables, model: PipelineModel, model_id: str, run_id: int) -> None:
     """One scoring run over the whole candle table, appended to the predictions."""
     scored = score_latest(model, tables.read("gold"), tables.cfg)
-    stamped = scored.withColumns(
+    tables.append("predictions", _stamped(scored, model_id, run_id))
+
+
+def _stamped(scored: DataFrame, model_id: str, batch_id: int) -> DataFrame:
+    return scored.withColumns(
         {
             "predicted_at": F.current_timestamp(),
             "model_id": F.lit(model_id),
-            "batch_id": F.lit(run_id).cast("bigint"),
+            "batch_id": F.lit(batch_id).cast("bigint"),
         }
     )
-    tables.append("predictions", stamped)
