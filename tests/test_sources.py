@@ -30,7 +30,7 @@ def test_series_payload(spark):
     series = "Time Series (1min)"
     frame = payload_frame(
         spark,
-        {series: {"2024-05-01 11:59:00": entry("9"), "2024-05-01 12:00:00": entry("2.5")}},
+        {"Meta Data": {"1. Information": "x"}, series: {"2024-05-01 11:59:00": entry("9"), "2024-05-01 12:00:00": entry("2.5")}},
         {"Note": "no more calls today"},
         {series: {}},
         {series: {"2024-05-01 12:00:00": entry("n/a")}},

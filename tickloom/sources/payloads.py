@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from tickloom.functions import fields_once, once
 
+# The time format inside a series, and the name its ticks carry as their source.
 SERIES_TIME = "yyyy-MM-dd HH:mm:ss"
+SERIES_SOURCE = "alpha_vantage"
 
 
 def ticks_from_series(
@@ -15,14 +18,14 @@ def ticks_from_series(
     payload: str = "payload",
     symbol: str = "symbol",
     interval: str = "1min",
-    source: str = "alpha_vantage",
+    source: str = SERIES_SOURCE,
 ) -> DataFrame:
     """The newest entry of ``Time Series (<interval>)``. Payloads without a series, or whose newest
     entry lacks a field or holds text that is no number or time, give no row."""
-    series = F.from_json(
-        F.get_json_object(payload, f"$['Time Series ({interval})']"),
-        "map<string,map<string,string>>",
-    )
+    name = f"Time Series ({interval})"
+    entries = MapType(StringType(), MapType(StringType(), StringType()))
+    # the other parts of a payload are passed over by the parser
+    series = F.from_json(payload, StructType([StructField(name, entries)])).getField(name)
     newest = df.select(F.col(symbol).alias("symbol"), once(series).alias("_series")).select(
         "symbol", "_series", F.array_max(F.map_keys("_series")).alias("_time")
     )
