@@ -68,3 +68,16 @@ def test_steps_and_filter_between(spark):
         .withColumn("share", F.percent_rank().over(w))
     )
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("last_complete", [True, False])
+def test_lead_and_share_is_lead_filter_rank(spark, last_complete):
+    data = [(s, START + timedelta(minutes=i), i, i % 3 > 0) for s in "ab" for i in range(40)]
+    data += [("a", START + timedelta(minutes=40), 40, last_complete), ("c", START, 1, True)]
+    df = spark.createDataFrame(data, "symbol string, at timestamp, v int, ok boolean")
+    cut = Slices.of_steps(df, ["symbol"], ["at"], 300)
+    got = cut.lead_and_share("v", "after", F.col("ok"), "share").frame()
+    w = Window.partitionBy("symbol").orderBy("at")
+    kept = df.withColumn("after", F.lead("v").over(w)).where("ok AND after IS NOT NULL")
+    want = kept.withColumn("share", F.percent_rank().over(w))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -100,7 +100,8 @@ class Slices:
 
     def lead_and_share(self, column: str, lead: str, complete: Column, name: str) -> Slices:
         """``lead`` of ``column``, and in ``name`` the ``percent_rank`` a row has once only
-        ``complete`` rows with a next row are kept. For one row per key and time.
+        ``complete`` rows with a next row are kept. For one row per key and time, and a ``column``
+        that is never NULL.
 
         The same as a lead, a filter and a ``percent_rank``, but with one table of edges, so the
         frame is computed for edges once and not once per step.
