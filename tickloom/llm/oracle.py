@@ -1,6 +1,262 @@
-"""SQL counterparts of the text queries, for DuckDB."""
+"""SQL counterparts of the text queries, for DuckDB.
 
-ORACLE: dict[str, str] = {}
+Each function writes the SQL of one operator over a relation of documents, so that the pipeline can nest them.
+HTML extraction, repeated strings and toxicity have none: the first and the last are not relational, and
+the comparison of all 200-byte strings is too slow in SQL. They are tested against brute force.
+"""
+
+from __future__ import annotations
+
+from .backoff import Backoff
+from .decontamination import WINDOW
+from .line_dedup import ENDING
+from .mixing import DIMENSIONS, ROUNDS, SEED, TEMPER
+
+WORD = r"[^\x20\x09-\x0D]+"
+NOT_WHITE = r"[^\x20\x09-\x0D]"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def quality_rows(docs: str) -> str:
+    """All columns of the documents and the measures, with a row number ``r``."""
+    return f"""
+WITH base AS (
+  SELECT *, row_number() OVER () AS r, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{NOT_WHITE}')) AS lines
+  FROM {docs}),
+grams AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
+repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest([0, 1, 2]) AS k FROM grams WHERE n > 1) GROUP BY r),
+measured AS (
+  SELECT base.*, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclamations,
+         len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(repeats.n, 0)::BIGINT AS n_repeat_words
+  FROM base LEFT JOIN repeats USING (r)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         100 * n_symbols > 30 * n_words OR 100 * n_exclamations > 30 * n_words
+         OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 14 * n_words AS rejected
+  FROM measured)
+SELECT *, NOT (base_failed OR rejected) AS passes FROM judged"""
+
+
+def quality(docs: str) -> str:
+    return f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, passes AS kept
+FROM ({quality_rows(docs)})"""
+
+
+def overlap_rows(docs: str) -> str:
+    letters = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH items AS (
+  SELECT DISTINCT item_id::VARCHAR AS item, regexp_extract_all({LOWER}, '{letters}') AS w FROM benchmark),
+windows AS (
+  SELECT item, least(len(w), {WINDOW}) AS size,
+         unnest(list_transform(range(1, len(w) - least(len(w), {WINDOW}) + 2),
+                lambda s: array_to_string(w[s:s + least(len(w), {WINDOW}) - 1], ' '))) AS words
+  FROM items WHERE len(w) > 0),
+base AS (SELECT *, row_number() OVER () AS r, regexp_extract_all({LOWER}, '{letters}') AS w FROM {docs}),
+spans AS (
+  SELECT r, size, s, array_to_string(w[s:s + size - 1], ' ') AS words
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM base, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+hits AS (SELECT r, s, spans.size, item FROM spans JOIN windows USING (words)),
+covered AS (
+  SELECT r, count(DISTINCT s + k) AS n_hit
+  FROM (SELECT r, s, unnest(range(0, size)) AS k FROM (SELECT DISTINCT r, s, size FROM hits)) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT base.*, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items, '') AS items
+FROM base LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
+
+
+def overlaps(docs: str) -> str:
+    return f"""
+SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0 AS contaminated
+FROM ({overlap_rows(docs)})"""
+
+
+def backoff(docs: str) -> str:
+    """For the order two that the query uses."""
+    how = Backoff()
+    return f"""
+WITH base AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM {docs}),
+words AS (SELECT r, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev
+          FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM base)),
+single AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+pair AS (SELECT prev, word, count(*) AS n FROM words WHERE prev IS NOT NULL GROUP BY prev, word),
+logs AS (
+  SELECT r, CASE WHEN p.n >= {how.min_count} THEN ln(p.n) - ln(c.n)
+                 ELSE ln(s.n) - ln((SELECT count(*) FROM words))
+                      + CASE WHEN words.prev IS NULL THEN 0 ELSE ln({how.factor}) END END AS x
+  FROM words JOIN single s USING (word)
+  LEFT JOIN pair p ON p.prev = words.prev AND p.word = words.word LEFT JOIN single c ON c.word = words.prev),
+sums AS (SELECT r, sum(x) AS x FROM logs GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score, round(x / len(w), 4) AS mean_log_score
+FROM base LEFT JOIN sums USING (r)"""
+
+
+def near_rows(docs: str, percent: int) -> str:
+    return f"""
+WITH RECURSIVE base AS (
+  SELECT *, row_number() OVER () AS r, regexp_extract_all({LOWER}, '{WORD}') AS w FROM {docs}),
+shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM base),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * common.n >= {percent} * (x.n + y.n - common.n)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+smallest AS (SELECT a AS r, min(doc_id) AS low FROM reach JOIN base ON base.r = reach.b GROUP BY a)
+SELECT base.*, coalesce(sizes.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM base LEFT JOIN sizes USING (r) LEFT JOIN smallest USING (r)"""
+
+
+def near(docs: str, percent: int) -> str:
+    return f"SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM ({near_rows(docs, percent)})"
+
+
+def mixed(docs: str) -> str:
+    """Documents with their cell, probability and whether they are drawn; raking is unrolled."""
+    steps = []
+    state = "start"
+    for i in range(ROUNDS):
+        for d in DIMENSIONS:
+            name = f"rake_{i}_{d}"
+            steps.append(
+                f"""{name} AS (SELECT * REPLACE (CASE WHEN tokens > 0 THEN
+  weight * want_{d} / (sum(weight) OVER (PARTITION BY {d}) / sum(weight) OVER ()) ELSE weight END AS weight) FROM {state})"""
+            )
+            state = name
+    wants = ",\n".join(
+        f"""want_{d} AS (SELECT {d}, p / sum(p) OVER () AS want_{d}
+  FROM (SELECT {d}, pow(sum(tokens), {TEMPER[d]}) AS p FROM cells GROUP BY {d}))"""
+        for d in DIMENSIONS
+    )
+    joins = " ".join(f"JOIN want_{d} USING ({d})" for d in DIMENSIONS)
+    return f"""
+WITH base AS (
+  SELECT *, coalesce(source, '') AS c_source, coalesce(lang, '') AS c_lang,
+         CASE WHEN contains(t, ' | ') THEN 'table' WHEN contains(t, 'http') THEN 'links'
+              WHEN contains(t, '@') THEN 'contacts' WHEN length(t) >= 2000 THEN 'long prose' ELSE 'prose' END AS topic,
+         len(regexp_extract_all(t, '{WORD}'))::BIGINT AS n_tokens
+  FROM (SELECT *, coalesce(text, '') AS t FROM {docs})),
+cells AS (SELECT c_source AS source, c_lang AS lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM base GROUP BY ALL),
+{wants},
+start AS (SELECT cells.*, tokens AS weight, want_source, want_lang, want_topic FROM cells {joins}),
+{", ".join(steps)},
+chances AS (
+  SELECT source AS c_source, lang AS c_lang, topic,
+         coalesce(round(factor / max(factor) OVER (), 6), 1.0) AS probability
+  FROM (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens END AS factor FROM {state}))
+SELECT base.*, probability,
+       ('0x' || substr(md5(concat('{SEED}:', coalesce(doc_id::VARCHAR, ''))), 1, 8))::BIGINT < probability * 4294967296 AS kept
+FROM base JOIN chances USING (c_source, c_lang, topic)"""
+
+
+def mixing(docs: str) -> str:
+    return f"""
+SELECT doc_id, c_source AS source, c_lang AS lang, topic, n_tokens, probability, kept FROM ({mixed(docs)})"""
+
+
+def line_rows(docs: str) -> str:
+    """Documents with ``rest``, the text that is left, and counts of what was cut."""
+    return f"""
+WITH base AS (
+  SELECT *, row_number() OVER () AS r, string_split(text, chr(10)) AS lines FROM {docs}),
+hashed AS (SELECT r, doc_id, lines, list_transform(lines, lambda x: md5(x)) AS h FROM base WHERE text IS NOT NULL),
+ended AS (
+  SELECT r, doc_id, lines, list_filter(range(1, len(h) + 1),
+         lambda i: substr(md5(concat(coalesce(h[i - 1], ''), h[i])), 1, 1) <= '{ENDING}' OR i = len(h)) AS ends FROM hashed),
+chunks AS (
+  SELECT r, doc_id, no, ends[no] - coalesce(ends[no - 1], 0) AS n_lines,
+         array_to_string(lines[coalesce(ends[no - 1], 0) + 1:ends[no]], chr(10)) AS body
+  FROM (SELECT r, doc_id, lines, ends, unnest(range(1, len(ends) + 1)) AS no FROM ended)),
+repeated AS (
+  SELECT body, min({{'d': doc_id, 'n': no}}) AS first FROM chunks
+  WHERE n_lines >= 2 AND regexp_matches(body, '{NOT_WHITE}')
+  GROUP BY body HAVING count(DISTINCT {{'d': doc_id, 'n': no}}) > 1),
+judged AS (
+  SELECT chunks.*, first IS NOT NULL AND n_lines >= 2 AND first IS DISTINCT FROM {{'d': chunks.doc_id, 'n': no}} AS gone
+  FROM chunks LEFT JOIN repeated USING (body)),
+texts AS (
+  SELECT r, coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '') AS rest,
+         count(*) FILTER (gone) AS n_gone, coalesce(sum(n_lines) FILTER (gone), 0) AS gone_lines
+  FROM judged GROUP BY r)
+SELECT base.*, rest, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(gone_lines, 0)::BIGINT AS gone_lines
+FROM base LEFT JOIN texts USING (r)"""
+
+
+def lines(docs: str) -> str:
+    return f"""
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, n_gone AS n_removed_chunks, gone_lines AS n_removed_lines,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM ({line_rows(docs)})"""
+
+
+def chat(rows: str) -> str:
+    """For the default template: the same turns, and the lengths of headers, escapes and end marks."""
+
+    def escapes(x: str) -> str:
+        runs = f"list_sum(list_transform(regexp_extract_all({x}, '#{{3,}}'), lambda m: length(m) - 2))"
+        marks = "".join(
+            f" + (length({x}) - length(replace({x}, '{m}', ''))) // {len(m)}" for m in ("</turn>", ">: ")
+        )
+        return f"(coalesce({runs}, 0) + length({x}) - length(replace({x}, '\\', '')){marks})"
+
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM {rows}
+  UNION ALL SELECT -7, n, who, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(n, who)),
+sized AS (
+  SELECT *, length(text) + {escapes("text")} + length('</turn>') + 1
+         + CASE WHEN role IN ('system', 'user', 'assistant') THEN length('### : ') + length(role)
+                ELSE length('### Role <>: ') + length(role) + {escapes("role")} END AS size
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars,
+       regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END,
+                                    '' ORDER BY turn, role, text), 's?u(au)*a?') AS in_order
+FROM sized GROUP BY conv_id"""
+
+
+def pipeline() -> str:
+    columns = "doc_id, text, lang, source, n_chars"
+    blank = f"NOT regexp_matches(rest, '{NOT_WHITE}')"
+    return f"""
+WITH kept_1 AS MATERIALIZED (SELECT {columns} FROM ({quality_rows("documents")}) WHERE passes),
+kept_2 AS MATERIALIZED (
+  SELECT doc_id, rest AS text, lang, source, CASE WHEN n_gone > 0 THEN length(rest) ELSE n_chars END AS n_chars
+  FROM ({line_rows("kept_1")}) WHERE NOT (n_gone > 0 AND {blank})),
+kept_3 AS MATERIALIZED (SELECT {columns} FROM ({near_rows("kept_2", 80)}) WHERE doc_id = component_id),
+kept_4 AS MATERIALIZED (SELECT {columns} FROM ({overlap_rows("kept_3")}) WHERE n_hit = 0)
+SELECT {columns}, topic, probability FROM ({mixed("kept_4")}) WHERE kept"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality("documents"),
+    "op2_decontamination": overlaps("documents"),
+    "op4_lm_scoring": backoff("documents"),
+    "op6_near_dedup": near("documents", 85),
+    "op7_mixing": mixing("documents"),
+    "op9_line_dedup": lines("documents"),
+    "op10_chat_formatting": chat("conversations"),
+}
 
 #: of the whole pipeline
-PIPELINE: str | None = None
+PIPELINE: str | None = pipeline()

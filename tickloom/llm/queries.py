@@ -52,7 +52,7 @@ def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     out = backoff.scored(table(spark, folder, "documents"))
     # the order of a sum shows in the last digits
-    return out.select("doc_id", "n_words", *(F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")))
+    return out.select("doc_id", "n_words", *(F.round(c, 4).alias(c) for c in ("log_score", "mean_log_score")))
 
 
 @query
@@ -92,4 +92,5 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         text.alias("text"),
     )
     out = chat.digests(chat.conversations_formatted(rows.unionByName(added)))
-    return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "order_error")
+    digests = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    return out.select(*digests, F.col("order_error").isNull().alias("in_order"))
