@@ -34,6 +34,11 @@ def test_end_to_end(spark, tmp_path, capsys):
     assert main(["sql", "--base", base]) == 0
     assert "mean_price" in capsys.readouterr().out
     assert main(["sql", "--base", base, "SELECT x FROM nowhere"]) == 1
+    assert main(["sql", "--base", base, "SELECT id FROM range(5000)"]) == 0
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[:5000] == [f"{{'id': {i}}}" for i in range(5000)] and lines[5000].startswith("5000 rows")
+    assert main(["sql", "--base", base, "SELECT id FROM range(5000)", "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5000
     assert Tables(spark, TickConfig(base_path=base)).read("gold").count() == 120
 
 

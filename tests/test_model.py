@@ -85,8 +85,15 @@ def test_stream_scoring_is_idempotent(spark, trained, tmp_path):
     # another model keeps its own rows
     StreamScorer(tables, fitted, "forest-2").process(tables.read("gold"), 0)
     assert tables.read("predictions").groupBy("model_id").count().count() == 2
-    append_latest(tables, fitted, "manual", 7)
-    assert tables.read("predictions").where("model_id = 'manual'").count() == 2
+    # single runs and the stream see each other's predictions
+    for model_id in ("manual", "forest-1"):
+        append_latest(tables, fitted, model_id)
+        append_latest(tables, fitted, model_id)
+    scorer.process(tables.read("gold"), 2)
+    predictions = tables.read("predictions")
+    assert predictions.where("model_id = 'manual'").count() == 2
+    assert predictions.where("model_id = 'forest-1'").count() == 3
+    assert predictions.select("symbol", "window_start", "model_id").distinct().count() == predictions.count()
 
 
 @pytest.mark.parametrize("lookback", [1, 86400])

@@ -186,3 +186,55 @@ def test_gold_watermark_closes_windows_once(spark, topic, cfg):
     pipeline.run_available()
     got = pipeline.tables.read("gold").select("trade_count", F.unix_seconds("window_end") - EPOCH).collect()
     assert [tuple(r) for r in got] == [(2, 10)]
+
+
+def test_continuous_run_waits_for_its_own_queries(spark, topic, cfg):
+    import threading
+    import time
+
+    topic.send(message("A", 0))
+    LayeredPipeline(spark, cfg).run_available()  # leaves ended queries in the session
+    pipeline = LayeredPipeline(spark, cfg)
+    ended = []
+    runner = threading.Thread(target=lambda: ended.append(pipeline.run_continuously()))
+    runner.start()
+    topic.send(message("A", 1))
+    for _ in range(120):
+        if len(prices(pipeline, "silver")) == 2:
+            break
+        time.sleep(0.5)
+    assert len(prices(pipeline, "silver")) == 2 and runner.is_alive()
+    pipeline.queries["gold"].stop()
+    runner.join(60)
+    assert ended == [None] and not spark.streams.active
+
+
+def test_a_failing_layer_raises_and_stops_the_rest(spark, topic, cfg, monkeypatch):
+    topic.send(message("A", 0))
+    pipeline = LayeredPipeline(spark, cfg)
+    write = pipeline.tables._write_load
+
+    def broken(name, df, load):
+        if name == "silver":
+            raise OSError("disk is full")
+        write(name, df, load)
+
+    monkeypatch.setattr(pipeline.tables, "_write_load", broken)
+    with pytest.raises(Exception, match="disk is full"):
+        pipeline.run_continuously()
+    assert not spark.streams.active
+
+
+def test_batch_and_stream_rows_stand_side_by_side(spark, topic, cfg):
+    from tickloom.sources.tables import Tables
+
+    tables = Tables(spark, cfg)
+    row = "SELECT '{}' AS symbol, timestamp '2024-01-01' AS window_start, timestamp '2024-01-02' AS window_end, "
+    row += "1.0D AS avg_price, 1.0D AS min_price, 1.0D AS max_price, 0.0D AS volatility, 1L AS total_volume, "
+    row += "1L AS trade_count, 0.0D AS avg_price_change_pct, timestamp '2024-01-02' AS gold_computed_at"
+    tables.append("gold", spark.sql(row.format("HISTORY")))
+    topic.send(message("A", 0))
+    topic.send(message("Z", FAR - EPOCH))
+    LayeredPipeline(spark, cfg).run_available()
+    tables.append("gold", spark.sql(row.format("BACKFILL")))
+    assert sorted(r.symbol for r in tables.read("gold").collect()) == ["A", "BACKFILL", "HISTORY"]

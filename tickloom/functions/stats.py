@@ -6,17 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_mean(column: str, decimals: int = 6) -> Column:
-    """Mean from an integer sum of units of ``10**-decimals``.
+def exact_mean(column: str | Column, decimals: int = 6) -> Column:
+    """Mean from sums that are exact, so that the order in which partial sums meet cannot show.
 
-    A sum of doubles depends on the order in which partial sums meet, which shows after rounding;
-    a sum of integers does not. Values beyond the integer range (or NaN) and sums that overflow
-    fall back to the plain average of the whole group.
+    Where every value is a whole number of units of ``10**-decimals``, the units are summed as 38-digit
+    integers. Otherwise the nearest integers and the remainders are summed apart, the remainders to
+    24 digits behind the point. Which of the two is taken depends on the values, never on their
+    number. Only NaN, infinite values, and values beyond 10**28 or with digits behind the 24th are
+    averaged as doubles.
     """
+    x = F.col(column) if isinstance(column, str) else column
     scale = float(10**decimals)
-    units = F.rint(F.col(column) * scale).try_cast("bigint")
-    total = F.try_sum(units)
-    present = F.count(column)
-    exact = F.try_divide(total.cast("double"), present * F.lit(scale))
-    return F.when((F.count(units) == present) & total.isNotNull(), exact).otherwise(F.avg(column))
-
+    present = F.count(x)
+    units = F.rint(x * scale)
+    whole = F.rint(x)
+    rest = (x - whole).try_cast("decimal(28,24)")
+    in_units = F.sum(units.try_cast("decimal(28,0)")).cast("double") / (present * F.lit(scale))
+    in_limbs = (F.sum(whole.try_cast("decimal(28,0)")).cast("double") + F.sum(rest).cast("double")) / present
+    are_units = F.count_if((units / scale == x) & units.try_cast("decimal(28,0)").isNotNull()) == present
+    are_limbs = F.count_if((rest.cast("double") == x - whole) & whole.try_cast("decimal(28,0)").isNotNull()) == present
+    return F.when(present > 0, F.when(are_units, in_units).when(are_limbs, in_limbs).otherwise(F.avg(x)))

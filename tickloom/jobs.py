@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit tickloom/jobs.py`` or ``python -m tickloom.jobs``.
+"""Command line: ``spark-submit run_job.py`` or ``python -m tickloom.jobs``.
 
     pipeline  run the bronze, silver and gold streams (and the reject table)
     train     fit the forest on the stored candles, report the hold-out accuracy, save the model
@@ -13,9 +13,12 @@ import sys
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
+
 from tickloom.config import TickConfig
 from tickloom.plans.model import load_model, train_and_evaluate
-from tickloom.plans.sql import DEFAULT_SQL, run_sql
+from tickloom.plans.serving import volatility_overview
+from tickloom.plans.sql import SqlResult, run_sql
 from tickloom.session import build_session
 from tickloom.sources.tables import Tables
 from tickloom.streaming.pipeline import LayeredPipeline
@@ -48,7 +51,8 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--once", action="store_true", help="score the newest candles and end")
 
     sql = jobs.add_parser("sql", parents=[shared])
-    sql.add_argument("statement", nargs="?", default=DEFAULT_SQL)
+    sql.add_argument("statement", nargs="?", help="without one, the volatility overview of the candles")
+    sql.add_argument("--out", help="write the result here as Parquet instead of printing it")
     return top
 
 
@@ -93,21 +97,33 @@ def _train(spark, given, base: TickConfig) -> int:
 def _score(spark, given, base: TickConfig) -> int:
     tables, model = Tables(spark, base), load_model(given.model)
     if given.once:
-        append_latest(tables, model, given.model_id, run_id=int(time.time()))
+        append_latest(tables, model, given.model_id)
     else:
         StreamScorer(tables, model, given.model_id).start().awaitTermination()
     return 0
 
 
 def _sql(spark, given, base: TickConfig) -> int:
-    Tables(spark, base).create_views()
-    result = run_sql(spark, given.statement)
+    tables = Tables(spark, base)
+    tables.create_views()
+    started, count = time.monotonic(), 0
+    if given.statement:
+        result = run_sql(spark, given.statement)
+    else:
+        result = SqlResult(volatility_overview(tables.read("gold")))
+    try:
+        if result.frame is not None and given.out:
+            result.frame.write.parquet(given.out)
+            count = spark.read.parquet(given.out).count()
+        for row in [] if given.out else result.rows():
+            print(row.asDict())
+            count += 1
+    except PySparkException as problem:
+        result = SqlResult(error=str(problem))
     if result.error:
         print(result.error, file=sys.stderr)
         return 1
-    for row in result.rows:
-        print(row.asDict())
-    print(f"{result.row_count} rows in {result.seconds:.3f} s")
+    print(f"{count} rows in {time.monotonic() - started:.3f} s")
     return 0
 
 

@@ -11,8 +11,11 @@ from tickloom.functions import exact_mean
 def candles(df: DataFrame, window: str, slide: str | None = None) -> DataFrame:
     """One row per (window, symbol), in batch and in streams.
 
-    Every aggregate has a partial form, so a hot symbol is reduced before the shuffle. The mean
-    price is an exact sum (``exact_mean``) and so does not change with the partitioning.
+    Every aggregate has a partial form, so a hot symbol is reduced before the shuffle. The means
+    are exact sums (``exact_mean``) and so do not change with the partitioning; each tick's percent
+    is rounded to ten digits for that.
+
+    Fixed values: the names of the columns and the digits they are rounded to.
     """
     grouped = df.groupBy(F.window("timestamp", window, slide), "symbol")
     aggregated = grouped.agg(
@@ -22,7 +25,7 @@ def candles(df: DataFrame, window: str, slide: str | None = None) -> DataFrame:
         F.round(F.coalesce(F.stddev("price"), F.lit(0.0)), 4).alias("volatility"),
         F.sum("volume").alias("total_volume"),
         F.count("*").alias("trade_count"),
-        F.round(F.avg("price_change_pct"), 2).alias("avg_price_change_pct"),
+        F.round(exact_mean(F.round("price_change_pct", 10), 10), 2).alias("avg_price_change_pct"),
     )
     return aggregated.select(
         F.col("window.start").alias("window_start"),

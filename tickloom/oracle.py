@@ -49,7 +49,7 @@ CANDLE_COLUMNS = f"""
          {half_up("coalesce(stddev_samp(price), 0.0)", 4)} AS volatility,
          CAST(sum(volume) AS BIGINT) AS total_volume,
          count(*) AS trade_count,
-         {half_up("avg(price_change_pct)", 2)} AS avg_price_change_pct"""
+         {half_up(mean(half_up("price_change_pct", 10), "10000000000"), 2)} AS avg_price_change_pct"""
 
 
 def gold(width: str) -> str:
@@ -138,6 +138,20 @@ SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) FILTER (n > 1) AS duplicate
 SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM silver""",
     "gold_candles_hour": GOLD_HOUR,
     "layer_tables": GOLD_HOUR,
+    "mixed_writes": GOLD_HOUR,
+    "silver_text_times": f"""WITH {SILVER}
+SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM silver""",
+    "sql_over_views": f"""WITH {HOUR}
+SELECT symbol, count(*) AS windows, max(max_price) AS high FROM gold WHERE trade_count >= 2 GROUP BY symbol""",
+    "stream_scoring": f"""WITH {FEATURES}
+SELECT symbol, window_start, window_end FROM features
+QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1""",
+    "rf_signals": f"""WITH {FEATURES}
+SELECT symbol, window_start, window_end, true AS is_probability, true AS signal_is_band FROM features
+QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1""",
+    "rf_accuracy": f"""WITH {SPLIT}
+SELECT count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
+       true AS accuracy_is_reported FROM split""",
     "stream_gold": GOLD_HOUR,
     "gold_candles_10s": f"WITH {gold('10 seconds')} SELECT * FROM gold",
     "gold_candles_sliding": f"WITH {SLIDING} SELECT * FROM gold",
@@ -172,6 +186,12 @@ SELECT symbol, window_end AS "time", avg_price AS open, max_price AS high, min_p
        CAST(greatest(coalesce(total_volume - lag(total_volume) OVER (
          PARTITION BY symbol ORDER BY window_start), 0), 0) AS BIGINT) AS volume_delta
 FROM gold""",
+    "price_series_of_symbol": f"""WITH {HOUR}
+SELECT symbol, window_end AS "time", avg_price AS open, max_price AS high, min_price AS low,
+       avg_price AS "close",
+       CAST(greatest(coalesce(total_volume - lag(total_volume) OVER (
+         PARTITION BY symbol ORDER BY window_start), 0), 0) AS BIGINT) AS volume_delta
+FROM gold WHERE symbol = 'click'""",
     "trend_ma5": f"""WITH {HOUR},
 moving AS (
   SELECT symbol, window_start, avg_price AS latest_price,

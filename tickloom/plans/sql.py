@@ -2,42 +2,32 @@
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
-# Shown when a user has not typed anything yet.
-DEFAULT_SQL = """
-SELECT symbol,
-       avg(avg_price) AS mean_price,
-       max(volatility) AS max_vol,
-       sum(total_volume) AS total_vol
-FROM gold
-GROUP BY symbol
-ORDER BY max_vol DESC, symbol
-"""
-
 
 @dataclass(frozen=True)
 class SqlResult:
-    """``frame`` is the whole result; ``rows`` its first page; ``row_count`` counts all of it."""
+    """``frame`` is the whole result, not yet computed; ``error`` says why there is none."""
 
     frame: DataFrame | None = None
-    rows: list[Row] = field(default_factory=list)
-    row_count: int = 0
-    seconds: float = 0.0
     error: str | None = None
 
+    def rows(self) -> Iterator[Row]:
+        """All rows, in order, in one run; the driver holds one partition at a time."""
+        return iter(()) if self.frame is None else self.frame.toLocalIterator()
+
+    def page(self, size: int) -> list[Row]:
+        return [] if self.frame is None else self.frame.limit(size).collect()
+
 
-def run_sql(spark: SparkSession, text: str, page: int = 1000, args: dict | None = None) -> SqlResult:
-    """Run ``text``; an error comes back as its message. Values go in as named ``args`` (``:name``)."""
-    started = time.monotonic()
+def run_sql(spark: SparkSession, text: str, args: dict | None = None) -> SqlResult:
+    """Analyse ``text``; a mistake in it comes back as its message. Values go in as named ``args``
+    (``:name``)."""
     try:
-        frame = spark.sql(text, args=args)
-        rows = frame.limit(page).collect()
-        row_count = len(rows) if len(rows) < page else frame.count()
+        return SqlResult(spark.sql(text, args=args))
     except PySparkException as problem:
-        return SqlResult(seconds=time.monotonic() - started, error=str(problem))
-    return SqlResult(frame, rows, row_count, time.monotonic() - started)
+        return SqlResult(error=str(problem))

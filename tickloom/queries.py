@@ -18,6 +18,7 @@ from tickloom.sources.tables import Tables
 from tickloom.sources.ticks import ticks_from_events
 from tickloom.streaming.pipeline import LayeredPipeline
 from tickloom.streaming.repeats import RepeatFilter
+from tickloom.streaming.scoring import StreamScorer, append_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,7 +85,8 @@ def bronze_dedup(spark, folder):
 
 @query
 def repeat_suppression(spark, folder):
-    ticks = ticks_from_events(spark, folder, CFG)
+    # compared with itself, so written once
+    ticks = stage(ticks_from_events(spark, folder, CFG), "ticks")
     return dedup.without_repeats(ticks, ARRIVAL, CFG.tick_slice_seconds, CFG.max_slice_rows)
 
 
@@ -145,6 +147,52 @@ def layer_tables(spark, folder):
     return tables.read("gold").drop("gold_computed_at")
 
 
+@query
+def silver_text_times(spark, folder):
+    """Enrichment of ticks whose event time is text."""
+    ticks = _bronze(spark, folder).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    return layers.enrich(ticks).withColumn("price_change_pct", F.round("price_change_pct", 10))
+
+
+@query
+def mixed_writes(spark, folder):
+    """Candles of the earlier half of the time from a batch job, of the later half from the stream, in one
+    table; and one more batch after the stream, of the candles in between."""
+    cfg = _stream_config(spark)
+    tables = Tables(spark, cfg)
+    ticks = stage(ticks_from_events(spark, folder, cfg), "ticks")
+    first, last = ticks.agg(F.min("timestamp"), F.max("timestamp")).first()
+    third = (last - first) / 3
+    one, two = (F.date_trunc("hour", F.lit(first + third * k)) for k in (1, 2))
+    time = F.col("timestamp")
+
+    def backfill(rows: DataFrame) -> None:
+        silver = layers.silver(layers.bronze(rows, CFG, ARRIVAL, stamp=False), CFG, ARRIVAL)
+        tables.append("gold", layers.gold(silver, CFG))
+
+    backfill(ticks.where(time < one))
+    later = stage(layers.bronze(ticks.where(time >= two), CFG, ARRIVAL, stamp=False), "later")
+    _publish(spark, later, cfg)
+    LayeredPipeline(spark, cfg).run_available()
+    backfill(ticks.where((time >= one) & (time < two)))
+    return tables.read("gold").drop("gold_computed_at")
+
+
+@query
+def sql_over_views(spark, folder):
+    """A statement over the views of stored tables."""
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"))
+    tables = Tables(spark, cfg)
+    tables.append("gold", layers.gold(_silver(spark, folder), cfg))
+    views = tables.create_views()
+    try:
+        text = "SELECT symbol, count(*) AS windows, max(max_price) AS high FROM gold WHERE trade_count >= :least GROUP BY symbol"
+        return sql.run_sql(spark, text, args={"least": 2}).frame
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)
+
+
 # --- serving -----------------------------------------------------------------------------------
 
 
@@ -160,8 +208,8 @@ def volatility_overview(spark, folder):
 
 @query
 def default_playground(spark, folder):
-    _gold(spark, folder).createOrReplaceTempView("gold")
-    return spark.sql(sql.DEFAULT_SQL).withColumn("mean_price", F.round("mean_price", 6))
+    """What the SQL job shows without a statement."""
+    return serving.volatility_overview(_gold(spark, folder)).withColumn("mean_price", F.round("mean_price", 6))
 
 
 @query
@@ -199,6 +247,11 @@ def price_series(spark, folder):
     return serving.price_series(_stored_gold(spark, folder), CFG)
 
 
+@query
+def price_series_of_symbol(spark, folder):
+    return serving.price_series_of(_stored_gold(spark, folder), ONE_SYMBOL, CFG)
+
+
 @query
 def trend_ma5(spark, folder):
     return serving.trend(_gold(spark, folder)).withColumn("mean_price", F.round("mean_price", 6))
@@ -291,16 +344,47 @@ def feature_file_scan(spark, folder):
 
 @query
 def rf_signals(spark, folder):
+    """Signals of the newest feature rows, with what must hold of any forest: a probability, and the
+    band it stands for."""
     candles = _stored_gold(spark, folder)
     fitted, _ = model.train_and_evaluate(candles, CFG)
-    return model.score_latest(fitted, candles, CFG)
+    scored = model.score_latest(fitted, candles, CFG)
+    return scored.select(
+        "symbol",
+        "window_start",
+        "window_end",
+        F.col("probability").between(0.0, 1.0).alias("is_probability"),
+        (F.col("signal") == signal_band(F.col("probability"))).alias("signal_is_band"),
+    )
 
 
 @query
 def rf_accuracy(spark, folder):
-    split = stage(features.time_split(_stored_gold(spark, folder), CFG), "split")
-    fitted = model.fit(split.where("split = 'train'"), CFG)
-    return model.accuracy(fitted.transform(split.where("split = 'test'")))
+    """Row counts of the report, and whether the stored model's stored predictions give its accuracy."""
+    path = fresh_path(spark, "model")
+    candles = _stored_gold(spark, folder)
+    _, report = model.train_and_evaluate(candles, CFG, path)
+    split = features.time_split(candles, CFG).where("split = 'test'")
+    stored = stage(model.load_model(path).transform(split).select("label", "prediction"), "test-predictions")
+    recomputed = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return stored.agg(
+        F.lit(report.train_rows).cast("bigint").alias("train_rows"),
+        F.count("*").alias("test_rows"),
+        (F.abs(recomputed - F.lit(report.accuracy)) < 1e-12).alias("accuracy_is_reported"),
+    )
+
+
+@query
+def stream_scoring(spark, folder):
+    """Predictions stored by a stream over the candles and by a single run after it: one for the newest
+    feature row of every symbol."""
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"), num_trees=5)
+    tables = Tables(spark, cfg)
+    tables.append("gold", layers.gold(_silver(spark, folder), CFG))
+    fitted, _ = model.train_and_evaluate(tables.read("gold"), cfg)
+    StreamScorer(tables, fitted, "forest").start(available_now=True).awaitTermination()
+    append_latest(tables, fitted, "forest")
+    return tables.read("predictions").select("symbol", "window_start", "window_end")
 
 
 # --- messages and payloads ---------------------------------------------------------------------
@@ -392,14 +476,26 @@ def stream_gold(spark, folder):
 
     A tick far in the future moves the watermark past every real window, so all of them close.
     """
-    cfg = replace(
+    cfg = _stream_config(spark)
+    ticks = stage(_bronze(spark, folder), "bronze")
+    again = ticks.where(F.col("event_id") % 3 == 0)
+    _publish(spark, ticks.unionByName(again), cfg)
+    pipeline = LayeredPipeline(spark, cfg)
+    pipeline.run_available()
+    return pipeline.tables.read("gold").drop("gold_computed_at")
+
+
+def _stream_config(spark: SparkSession) -> TickConfig:
+    return replace(
         CFG,
         base_path=fresh_path(spark, "lake"),
         source_format="parquet",
         source_options={"path": fresh_path(spark, "topic")},
     )
-    ticks = stage(_bronze(spark, folder), "bronze")
-    again = ticks.where(F.col("event_id") % 3 == 0)
+
+
+def _publish(spark: SparkSession, ticks: DataFrame, cfg: TickConfig) -> None:
+    """Send ticks, and one far in the future that closes all windows."""
     last = spark.range(1).select(
         F.lit("sentinel").alias("symbol"),
         *(F.lit(1.0).alias(c) for c in ("price", "open", "high", "low")),
@@ -407,12 +503,9 @@ def stream_gold(spark, folder):
         F.lit("2100-01-01").cast("timestamp").alias("timestamp"),
         F.lit("2100-01-01").cast("timestamp").alias("ingestion_timestamp"),
     )
-    rows = ticks.unionByName(again).drop("event_id").unionByName(last)
+    rows = ticks.drop("event_id").unionByName(last)
     sent = messages.as_messages(rows, broker_time="ingestion_timestamp")
     messages.publish(sent, cfg.source_format, cfg.source_options)
-    pipeline = LayeredPipeline(spark, cfg)
-    pipeline.run_available()
-    return pipeline.tables.read("gold").drop("gold_computed_at")
 
 
 @query

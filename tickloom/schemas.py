@@ -66,11 +66,10 @@ TABLES = {
     "predictions": PREDICTIONS,
     "rejects": REJECTS,
 }
-# predictions are laid out by model and scoring batch, so that a replayed batch replaces itself
 PARTITION_COLUMNS = {
     "bronze": ["symbol"],
     "silver": ["symbol"],
     "gold": ["symbol"],
-    "predictions": ["model_id", "batch_id"],
+    "predictions": ["model_id"],
     "rejects": [],
 }

@@ -10,6 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_folders: dict[str, str] = {}
 _scope = threading.local()
 
@@ -21,10 +24,7 @@ def build_session(app_name: str = "tickloom", master: str | None = None, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.streaming.minBatchesToRetain", "5")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_STORE, ROCKS_DB)
     )
     if master:
         builder = builder.master(master)
@@ -36,14 +36,15 @@ def build_session(app_name: str = "tickloom", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local master may go without it: there one machine holds everything, so a temporary
-    folder is as good. On a cluster a missing setting is an error.
+    Only a local master may go without it: there one process holds everything, so a temporary
+    folder is as good. On a cluster (``local-cluster`` has executors of its own, too) a missing
+    setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = context.applicationId
     if app not in _local_folders:

@@ -1,14 +1,26 @@
-"""The layer tables: bootstrap, batch and stream access, SQL views."""
+"""The layer tables: bootstrap, batch and stream access, SQL views.
+
+With plain files, every append and every streaming batch is one load: a folder of its own that is
+written aside and then renamed into the table. So a reader sees a load as a whole or not at all, loads
+of batch jobs and of streams stand side by side, and a replayed streaming batch replaces its own load. The
+rename is atomic on file systems such as HDFS; on an object store use a table format instead.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.config import TickConfig
 from tickloom.schemas import PARTITION_COLUMNS, TABLES
+from tickloom.session import ROCKS_DB, STATE_STORE
 
+#: first partition level of the stored files
+LOAD = "load"
 VIEWS = ("bronze", "silver", "gold", "predictions")
 
 
@@ -24,27 +36,60 @@ class Tables:
     def _delta(self) -> bool:
         return self.cfg.table_format == "delta"
 
+    def _file_system(self, location: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def exists(self, name: str) -> bool:
         """Whether the table's folder is there (created by a bootstrap, a stream or an append)."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.cfg.path(name))
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf).exists(path)
+        path, files = self._file_system(self.cfg.path(name))
+        return files.exists(path)
+
+    def _write_load(self, name: str, df: DataFrame, load: str) -> None:
+        """Write ``df`` as the load of that name, in place of an earlier one. The rebalance gathers
+        each symbol's rows into few files and, unlike a plain repartition by symbol, splits a symbol
+        that is too large for one task."""
+        partitions = PARTITION_COLUMNS[name]
+        writer = df.hint("rebalance", *partitions).write.mode("overwrite").format(self.cfg.table_format)
+        if self.cfg.max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", self.cfg.max_records_per_file)
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        aside, files = self._file_system(f"{self.cfg.path(name)}/_aside/{load}")
+        writer.save(str(aside))
+        place, _ = self._file_system(f"{self.cfg.path(name)}/{LOAD}={load}")
+        files.delete(place, True)
+        if not files.rename(aside, place):
+            raise OSError(f"load {load} of {name} could not be put in place")
+
+    def stream_load(self, name: str, batch_id: int) -> str:
+        """Name of the load of a streaming batch. A new checkpoint gets other names, so that its
+        batches do not replace those of the old one."""
+        path = f"{self.cfg.checkpoint(name)}_token"
+        fresh = self.spark.createDataFrame([(uuid.uuid4().hex[:12],)], "token string")
+        fresh.write.mode("ignore").text(path)
+        return f"s-{self.spark.read.text(path).first()[0]}-{batch_id:010}"
 
     def bootstrap(self, name: str) -> bool:
         """Create an empty table where there is none; True when it was created."""
         if self.exists(name):
             return False
-        writer = self.spark.createDataFrame([], TABLES[name]).write.format(self.cfg.table_format)
-        if PARTITION_COLUMNS[name]:
-            writer = writer.partitionBy(*PARTITION_COLUMNS[name])
-        writer.mode("ignore").save(self.cfg.path(name))
+        if self._delta:
+            writer = self.spark.createDataFrame([], TABLES[name]).write.format(self.cfg.table_format)
+            writer.partitionBy(*PARTITION_COLUMNS[name]).mode("ignore").save(self.cfg.path(name))
+        else:
+            path, files = self._file_system(self.cfg.path(name))
+            files.mkdirs(path)
         return True
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, without_load: str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.cfg.table_format)
         if not self._delta:
             reader = reader.schema(_stored_schema(name))
-        return reader.load(self.cfg.path(name)).select(*TABLES[name].names)
+        rows = reader.load(self.cfg.path(name))
+        if without_load is not None and not self._delta:
+            rows = rows.where(F.col(LOAD) != without_load)
+        return rows.select(*TABLES[name].names)
 
     def read_stream(self, name: str) -> DataFrame:
         """The table as a stream, from its beginning.
@@ -60,44 +105,45 @@ class Tables:
         return reader.load(self.cfg.path(name)).select(*TABLES[name].names)
 
     def append(self, name: str, df: DataFrame) -> None:
-        """Append a batch.
-
-        The rebalance gathers each symbol's rows into few files and, unlike a plain repartition by
-        symbol, splits a symbol that is too large for one task.
-        """
+        """Append a batch."""
+        if not self._delta:
+            self._write_load(name, df, f"b-{uuid.uuid4().hex}")
+            return
         partitions = PARTITION_COLUMNS[name]
         writer = df.hint("rebalance", *partitions).write.format(self.cfg.table_format).mode("append")
-        if self.cfg.max_records_per_file:
-            writer = writer.option("maxRecordsPerFile", self.cfg.max_records_per_file)
-        if self._delta:
-            writer = writer.option("mergeSchema", "true")
-        if partitions:
-            writer = writer.partitionBy(*partitions)
-        writer.save(self.cfg.path(name))
+        writer.option("mergeSchema", "true").partitionBy(*partitions).save(self.cfg.path(name))
 
-    def replace_batch(self, name: str, df: DataFrame) -> None:
-        """Write the rows of one streaming batch; only the partitions they fall into are replaced."""
+    def replace_batch(self, name: str, df: DataFrame, load: str) -> None:
+        """Write the rows of one streaming batch in place of what an earlier try has written."""
+        if not self._delta:
+            self._write_load(name, df, load)
+            return
         writer = df.write.format(self.cfg.table_format).mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*PARTITION_COLUMNS[name]).save(self.cfg.path(name))
 
     def start_stream(self, name: str, df: DataFrame, available_now: bool = False) -> StreamingQuery:
         """Append a stream to the table under its own checkpoint and query name."""
+        # state of deduplication and windows belongs on disk, whatever session starts the stream
+        self.spark.conf.set(STATE_STORE, ROCKS_DB)
         writer = (
-            df.writeStream.format(self.cfg.table_format)
-            .outputMode("append")
+            df.writeStream.outputMode("append")
             .queryName(f"{name}_ingestion")
             .option("checkpointLocation", self.cfg.checkpoint(name))
         )
         if self._delta:
-            writer = writer.option("mergeSchema", "true")
-        if PARTITION_COLUMNS[name]:
-            writer = writer.partitionBy(*PARTITION_COLUMNS[name])
+            writer = writer.format("delta").option("mergeSchema", "true").partitionBy(*PARTITION_COLUMNS[name])
+        else:
+
+            def put(batch: DataFrame, batch_id: int) -> None:
+                self._write_load(name, batch, self.stream_load(name, batch_id))
+
+            writer = writer.foreachBatch(put)
         if available_now:
             writer = writer.trigger(availableNow=True)
         else:
             writer = writer.trigger(processingTime=self.cfg.processing_time)
-        return writer.start(self.cfg.path(name))
+        return writer.start(self.cfg.path(name)) if self._delta else writer.start()
 
     def create_views(self) -> list[str]:
         """Temporary views by table name; tables that are not there yet are left out."""
@@ -118,4 +164,4 @@ def _stored_schema(name: str) -> StructType:
     declared = TABLES[name]
     partitions = PARTITION_COLUMNS[name]
     data = [f for f in declared.fields if f.name not in partitions]
-    return StructType(data + [declared[c] for c in partitions])
+    return StructType([*data, StructField(LOAD, StringType()), *(declared[c] for c in partitions)])

@@ -43,11 +43,17 @@ class LayeredPipeline:
         return query
 
     def run_continuously(self) -> None:
-        """Start every layer and wait until one ends; then, or on an error, stop all of them."""
+        """Start every layer and wait until one of them ends; then stop the others. The error of a
+        layer that failed is raised."""
         try:
             for layer in self.layer_names:
                 self.run_layer(layer)
-            self.spark.streams.awaitAnyTermination()
+            # only the pipeline's own queries: others of the session may end as they like
+            while all(query.isActive for query in self.queries.values()):
+                next(iter(self.queries.values())).awaitTermination(1)
+            for query in self.queries.values():
+                if not query.isActive:
+                    query.awaitTermination()
         except KeyboardInterrupt:
             pass
         finally:

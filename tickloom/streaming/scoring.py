@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.plans.model import latest_features, score, score_latest
+from tickloom.plans.model import latest_features, score
 from tickloom.session import stage, temporary_stages
 from tickloom.sources.tables import Tables
 
@@ -21,6 +22,7 @@ class StreamScorer:
         self.tables = tables
         self.model = model
         self.model_id = model_id
+        self.checkpoint = f"scoring-{quote(model_id, safe='')}"
 
     def start(self, available_now: bool = False) -> StreamingQuery:
         cfg = self.tables.cfg
@@ -29,7 +31,7 @@ class StreamScorer:
             self.tables.read_stream("gold")
             .writeStream.queryName("scoring")
             .foreachBatch(self.process)
-            .option("checkpointLocation", cfg.checkpoint(f"scoring-{self.model_id}"))
+            .option("checkpointLocation", cfg.checkpoint(self.checkpoint))
         )
         if available_now:
             return writer.trigger(availableNow=True).start()
@@ -43,14 +45,11 @@ class StreamScorer:
         rows = self._latest_features(batch)
         if rows is None:
             return
-        known = (
-            self.tables.read("predictions")
-            .where((F.col("model_id") == self.model_id) & (F.col("batch_id") < batch_id))
-            .select("symbol", "window_start")
-        )
-        fresh = rows.join(known, ["symbol", "window_start"], "left_anti")
+        load = self.tables.stream_load(self.checkpoint, batch_id)
+        fresh = unscored(self.tables, rows, self.model_id, load)
         scored = score(self.model, fresh, self.tables.cfg)
-        self.tables.replace_batch("predictions", _stamped(scored, self.model_id, batch_id))
+        stamped = _stamped(scored, self.model_id, batch_id)
+        self.tables.replace_batch("predictions", stamped, load)
 
     def _latest_features(self, batch: DataFrame) -> DataFrame | None:
         """The newest feature row of the batch's symbols, from the stored candles.
@@ -76,10 +75,24 @@ class StreamScorer:
         return found.unionByName(rest)
 
 
-def append_latest(tables: Tables, model: PipelineModel, model_id: str, run_id: int) -> None:
-    """One scoring run over the whole candle table, appended to the predictions."""
-    scored = score_latest(model, tables.read("gold"), tables.cfg)
-    tables.append("predictions", _stamped(scored, model_id, run_id))
+def unscored(tables: Tables, rows: DataFrame, model_id: str, own_load: str | None = None) -> DataFrame:
+    """Feature rows that have no prediction of the model yet, neither from a stream nor from a single
+    run. Predictions of the load that is being written again do not count. Stored predictions of earlier
+    windows than the rows' are skipped by file statistics."""
+    rows = stage(rows, "to-score")
+    since = rows.agg(F.min("window_start")).first()[0]
+    if since is None:
+        return rows
+    known = tables.read("predictions", own_load).where((F.col("model_id") == model_id) & (F.col("window_start") >= since))
+    return rows.join(known.select("symbol", "window_start"), ["symbol", "window_start"], "left_anti")
+
+
+def append_latest(tables: Tables, model: PipelineModel, model_id: str) -> None:
+    """One scoring run over the whole candle table: the newest row of every symbol, unless it has been
+    scored. Single runs carry the batch number -1."""
+    tables.bootstrap("predictions")
+    rows = unscored(tables, latest_features(tables.read("gold"), tables.cfg), model_id)
+    tables.append("predictions", _stamped(score(model, rows, tables.cfg), model_id, -1))
 
 
 def _stamped(scored: DataFrame, model_id: str, batch_id: int) -> DataFrame:
