@@ -10,10 +10,11 @@ part once.
 2. Nodes of at most LEAF classes are compared exhaustively: on 256-bit sketches first, then on full sets.
    Larger nodes branch again. Sets of a node that stays large to the last level are nearly alike: each is
    compared in blocks with the node's pivots, and those outside the node's largest component with all.
-3. The first trees are compared and their links joined into components before the others, so that a pair that is
-   connected already is not compared again. A node whose classes are all connected is done.
+3. The first trees are compared before the others, and give each class the smallest class it is known to be
+   connected with. In the other trees, classes with the same such root are not compared again, and a node with
+   one root only is done.
 
-No pair of candidates is written: tasks compare their block and return the links that join something.
+No pair of candidates is written: tasks compare their block and return each member's root in the block.
 Nodes, blocks and sets move by shuffles; nothing of a document reaches the driver.
 
 Defined cases: texts without words, null or empty, have an empty set and no link. Fewer than five words
@@ -39,9 +40,9 @@ from .components import components
 from .words import WHITE, Tokenizer, Words, fixed_binary, gram_hashes, gram_starts, mix, ragged_binary
 
 TOKENS = 128
-LEAF = 200
-BLOCK = 100
-LEVELS = 6
+LEAF = 500
+BLOCK = 200
+LEVELS = 4
 FIRST_TREES = 2
 _SPLIT = Tokenizer(frozenset(range(256)) - WHITE, lower=True)
 _FLIP = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -250,12 +251,13 @@ def _with_partner(how: Similarity) -> Callable:
 
 
 def _linking(how: Similarity) -> Callable:
-    """Links within leaves, by full sets. Classes of one component count as linked; so do classes
-    that an earlier link of the leaf connects."""
+    """Links within blocks, by full sets: every root that turns out to be connected with a smaller
+    one, and the smallest such. Classes of one root count as linked; so do classes that an earlier
+    link of the block connects."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, borders in _runs(batches):
-            cls, n = table.column("cls").to_numpy(), table.column("n").to_numpy()
+            n = table.column("n").to_numpy()
             comp, side = table.column("comp").to_numpy(), table.column("side").to_numpy()
             sketch = _words(table.column("sketch").chunk(0), np.uint64, 4)
             data = table.column("data").chunk(0)
@@ -291,7 +293,7 @@ def _linking(how: Similarity) -> Callable:
                     common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if how.linked(common, len(sets[i]), len(sets[j])):
                         parent[max(p, q)] = min(p, q)
-                        links.append((int(cls[i]), int(cls[j])))
+                links += [(x, root(x)) for x in parent if root(x) != x]
             if links:
                 u, v = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
@@ -348,7 +350,8 @@ class ChosenPath:
         """``cls, n, sketch, data`` (sorted shingle hashes) of the wanted classes."""
         first = self.classes.join(wanted, "cls", "left_semi").select("cls", "digest", "n", "first_doc", "tokens")
         ids = first.select("first_doc").distinct()
-        texts = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["first_doc"]), "left_semi")
+        # as many ids as there are near-copies, which grow with the corpus: never a broadcast
+        texts = self.docs.join(ids.hint("merge"), self.docs["doc_id"].eqNullSafe(ids["first_doc"]), "left_semi")
         sets = texts.mapInArrow(_shingled(self.how, True), f"doc_id {self.kind}, n_shingles long, digest binary, data binary")
         # one of several rows with the same id and set
         sets = sets.groupBy("digest", F.col("n_shingles").alias("n")).agg(F.first("data").alias("data"))
@@ -384,11 +387,12 @@ class ChosenPath:
             blocks = blocks.unionByName(pivots).distinct()
             early = early.unionByName(blocks.select(F.xxhash64("key", "block").alias("key"), "cls", *alone))
         edges = stage(self._links(early, sets), "links")
-        found = stage(components(edges), "components")
+        lower = edges.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("root"))
+        beyond = lower.select(F.col("cls").alias("root"), F.col("root").alias("next"))
+        found = stage(lower.join(beyond, "root", "left").select("cls", F.coalesce("next", "root").alias("root")), "roots")
 
         def with_comp(rows: DataFrame) -> DataFrame:
-            named = found.select(F.col("node").alias("cls"), "root")
-            return rows.join(named, "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
+            return rows.join(found, "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
 
         late = with_comp(leaves.where(F.col("tree") >= FIRST_TREES))
         open_keys = late.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
@@ -396,8 +400,7 @@ class ChosenPath:
         if crowded:
             late = late.unionByName(self._residue(with_comp(crowds)))
         more = stage(self._links(late, sets), "links")
-        edges = edges.unionByName(more).unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        return components(edges).select(F.col("node").alias("cls"), F.col("root").alias("comp"))
+        return components(edges.unionByName(more)).select(F.col("node").alias("cls"), F.col("root").alias("comp"))
 
     @staticmethod
     def _residue(crowds: DataFrame) -> DataFrame:
@@ -450,11 +453,12 @@ def one_of_each(docs: DataFrame, how: Similarity | None = None, key: str = "doc_
     """The rows of ``docs`` whose key is the smallest of their group. Rows that repeat a kept row's key
     and belong to its group stay with it; of rows with one key and different texts, each stays or
     goes by its own group."""
-    (mark,) = clear_of(docs, "text_digest")
+    mark, place, lost = clear_of(docs, "text_digest", "place", "lost")
     marked = docs.withColumn(mark, F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
     pair = F.struct(F.col(key).alias("k"), F.col(mark).alias("m"))
     dropped = near_duplicates(marked.select(pair.alias("doc_id"), F.col(text).alias("text")), how)
     # ordered by key first, so the smallest pair has the smallest key
-    gone = dropped.where(F.col("doc_id.k") != F.col("component_id.k")).select(F.col("doc_id").alias("_gone")).distinct()
-    keep = marked.withColumn("_pair", pair).join(gone, F.col("_pair").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = dropped.where(F.col("doc_id.k") != F.col("component_id.k")).select(F.col("doc_id").alias(lost)).distinct()
+    # as many as there are copies: never a broadcast
+    keep = marked.withColumn(place, pair).join(gone.hint("merge"), F.col(place).eqNullSafe(F.col(lost)), "left_anti")
     return keep.select(*docs.columns)
