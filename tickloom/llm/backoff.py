@@ -32,7 +32,7 @@ from tickloom.session import stage
 
 from .words import WHITE, Tokenizer, Words, gram_hashes, gram_starts, text_buffers
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _SPLIT = Tokenizer(frozenset(range(256)) - WHITE, lower=False)
 
 
