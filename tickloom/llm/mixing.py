@@ -115,15 +115,15 @@ def calibrated(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None)
 def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The drawn rows of ``docs``, plus their ``topic`` and ``probability`` (under other names if taken)."""
     probabilities = raked(cells_of(stage(celled(docs), "celled")), targets)
-    topic, chance, s, g = clear_of(docs, "topic", "probability", "cell_source", "cell_lang")
+    topic, chance, s, g, t = clear_of(docs, "topic", "probability", "cell_source", "cell_lang", "cell_topic")
     marked = docs.withColumn(topic, topic_of(F.col("text")))
     cells = probabilities.select(
-        F.col("source").alias(s), F.col("lang").alias(g), F.col("topic").alias("t"), F.col("probability").alias(chance)
+        F.col("source").alias(s), F.col("lang").alias(g), F.col("topic").alias(t), F.col("probability").alias(chance)
     )
     same = (
         (F.coalesce(marked["source"], F.lit("")) == cells[s])
         & (F.coalesce(marked["lang"], F.lit("")) == cells[g])
-        & (marked[topic] == cells["t"])
+        & (marked[topic] == cells[t])
     )
-    out = marked.join(cells, same).drop(s, g, "t")
+    out = marked.join(cells, same).drop(s, g, t)
     return out.where(hex_unit(F.col("doc_id"), SEED) < F.col(chance) * _UNIT)
