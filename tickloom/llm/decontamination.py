@@ -173,4 +173,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     marked = docs.withColumn(mark, F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
     bad = marked.select(F.col(mark).alias("doc_id"), F.col(text).alias("text"))
     bad = overlaps(bad, benchmark).where("contaminated").select(F.col("doc_id").alias(mark)).distinct()
-    return marked.join(bad, mark, "left_anti").select(*docs.columns)
+    # as many as there are leaks: never a broadcast
+    return marked.join(bad.hint("merge"), mark, "left_anti").select(*docs.columns)

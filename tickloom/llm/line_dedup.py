@@ -94,7 +94,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         repeated_chunks(docs, key, text).distinct().groupBy(F.col("doc_id").alias(owner))
         .agg(F.sort_array(F.collect_list(F.struct("no", "digest", "n_lines"))).alias(cut))
     )
-    joined = docs.join(per_doc, docs[key].eqNullSafe(per_doc[owner]), "left").drop(owner)
+    # as many as there are documents with repeats: never a broadcast
+    joined = docs.join(per_doc.hint("merge"), docs[key].eqNullSafe(per_doc[owner]), "left").drop(owner)
 
     def kept(c: Column) -> Column:
         digest = F.md5(c["body"].cast("binary"))
