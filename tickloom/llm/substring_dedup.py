@@ -26,10 +26,10 @@ digests are 64-bit hashes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tickloom.session import stage
 
-from .words import grouped_rows, prefix_hash, range_hash, ragged_binary, text_buffers
+from .words import gram_range_hashes, grouped_rows, prefix_hash, range_hash, text_buffers
 
 LENGTH = 200
 GRAM = 50
@@ -70,21 +70,22 @@ def runs_of(total: np.ndarray, bounds: np.ndarray) -> Runs:
     size = len(total) - 1
     if size < LENGTH:
         return Runs(*(np.zeros(0, np.int64),) * 3)
-    at = np.arange(size - GRAM + 1)
-    hashes = range_hash(total, at, at + GRAM)
     # the place decides between equal hashes, so the first of them is the sample
-    keys = (hashes >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
+    keys = gram_range_hashes(total, GRAM)
+    keys &= np.uint64(0xFFFFFFFF00000000)
+    keys |= np.arange(len(keys), dtype=np.uint64)
     sample = (sliding_least(keys, _SPAN) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     inside = np.zeros(size - LENGTH + 2, np.int64)
     fits = bounds[1:] - bounds[:-1] >= LENGTH
     np.add.at(inside, bounds[:-1][fits], 1)
     np.add.at(inside, bounds[1:][fits] - LENGTH + 1, -1)
     valid = np.cumsum(inside[:-1]) > 0
-    text = np.searchsorted(bounds, np.arange(len(valid)), side="right")
+    # strings of two texts are never neighbours: a text's last starts are not valid
+    change = sample[1:] != sample[:-1]
     begins = valid.copy()
-    begins[1:] &= ~valid[:-1] | (sample[1:] != sample[:-1]) | (text[1:] != text[:-1])
+    begins[1:] &= ~valid[:-1] | change
     ends = valid.copy()
-    ends[:-1] &= ~valid[1:] | (sample[1:] != sample[:-1]) | (text[1:] != text[:-1])
+    ends[:-1] &= ~valid[1:] | change
     low = np.flatnonzero(begins)
     return Runs(low, np.flatnonzero(ends), sample[low])
 

@@ -59,6 +59,13 @@ def range_hash(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_range_hashes(total: np.ndarray, size: int) -> np.ndarray:
+    """``range_hash`` of the ``size`` bytes from each place on."""
+    places = len(total) - size
+    _, inverse = _ladder(len(total))
+    return mix((total[size:] - total[:places]) * inverse[:places] + np.uint64(size))
+
+
 @dataclass
 class Words:
     """The words of some texts: ``rows`` are the texts' places in the batch, ``first`` the index of
