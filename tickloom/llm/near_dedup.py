@@ -40,7 +40,7 @@ from .components import components
 from .words import WHITE, Tokenizer, Words, fixed_binary, gram_hashes, gram_starts, mix, ragged_binary
 
 TOKENS = 128
-LEAF = 500
+LEAF = 2000
 BLOCK = 200
 LEVELS = 4
 FIRST_TREES = 2
@@ -229,6 +229,17 @@ def _close(sketch: np.ndarray, n: np.ndarray, how: Similarity) -> np.ndarray:
     return near
 
 
+def near_pairs(sketch: np.ndarray, n: np.ndarray, how: Similarity, step: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ordered pairs of one group that may be linked, some rows of the group at a time."""
+    for at in range(0, len(n), step):
+        near = matches(sketch[at : at + step, None, :], sketch[None, :, :]) >= how.least_matches
+        own = n[at : at + step, None]
+        near &= 100 * np.minimum(own, n) >= how.percent * np.maximum(own, n)
+        left, right = np.nonzero(near)
+        left += at
+        yield left[left != right], right[left != right]
+
+
 def _with_partner(how: Similarity) -> Callable:
     """Rows of leaves that have a partner by sketch and size."""
 
@@ -238,7 +249,10 @@ def _with_partner(how: Similarity) -> Callable:
             sketch = _words(table.column("sketch").chunk(0), np.uint64, 4)
             sizes = np.diff(borders)
             keep = np.zeros(len(n), bool)
-            for size in np.unique(sizes[sizes > 1]):
+            for a, b in zip(borders[:-1][sizes > 64], borders[1:][sizes > 64]):
+                for left, _ in near_pairs(sketch[a:b], n[a:b], how):
+                    keep[a + left] = True
+            for size in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
                 starts = borders[:-1][sizes == size]
                 step = max(1, 4_000_000 // int(size * size))
                 for at in range(0, len(starts), step):
@@ -265,35 +279,31 @@ def _linking(how: Similarity) -> Callable:
             for a, b in zip(borders[:-1], borders[1:]):
                 if b - a < 2:
                     continue
-                near = np.triu(_close(sketch[None, a:b], n[None, a:b], how)[0])
-                # of two sides, only pairs across them; side 0 is compared with all
-                near &= (side[a:b, None] != side[None, a:b]) | (side[a:b, None] == 0)
-                near &= comp[a:b, None] != comp[None, a:b]
-                left, right = np.nonzero(near)
-                if not len(left):
-                    continue
+                own, part = comp[a:b], side[a:b]
+                found = []
+                for left, right in near_pairs(sketch[a:b], n[a:b], how):
+                    # of two sides, only pairs across them; side 0 is compared with all
+                    ask = (left < right) & (own[left] != own[right])
+                    ask &= (part[left] != part[right]) | (part[left] == 0)
+                    found.append((left[ask], right[ask]))
+                left, right = (np.concatenate(x) for x in zip(*found))
                 order = np.argsort(-matches(sketch[a + left], sketch[a + right]), kind="stable")
-                parent = {c: c for c in comp[a:b].tolist()}
-
-                def root(x: int) -> int:
-                    while parent[x] != x:
-                        parent[x] = parent[parent[x]]
-                        x = parent[x]
-                    return x
-
+                roots, group = np.unique(own, return_inverse=True)
                 sets: dict[int, np.ndarray] = {}
-                for k in order:
-                    i, j = int(a + left[k]), int(a + right[k])
-                    p, q = root(int(comp[i])), root(int(comp[j]))
-                    if p == q:
-                        continue
-                    for x in (i, j):
-                        if x not in sets:
-                            sets[x] = np.frombuffer(data[x].as_py(), np.uint64)
-                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if how.linked(common, len(sets[i]), len(sets[j])):
-                        parent[max(p, q)] = min(p, q)
-                links += [(x, root(x)) for x in parent if root(x) != x]
+                for some in np.array_split(order, len(order) // 10_000 + 1):
+                    apart = group[left[some]] != group[right[some]]
+                    for i, j in zip(left[some[apart]].tolist(), right[some[apart]].tolist()):
+                        p, q = sorted((group[i], group[j]))
+                        if p == q:
+                            continue
+                        for x in (i, j):
+                            if x not in sets:
+                                sets[x] = np.frombuffer(data[int(a) + x].as_py(), np.uint64)
+                        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if how.linked(common, len(sets[i]), len(sets[j])):
+                            group[group == q] = p
+                lower = roots[group] != own
+                links += set(zip(own[lower].tolist(), roots[group][lower].tolist()))
             if links:
                 u, v = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
@@ -326,12 +336,12 @@ class ChosenPath:
         nodes = tokens.mapInArrow(_first_level(how), NODE)
         found, crowds = [], None
         for level in range(1, LEVELS + 1):
-            sizes = stage(nodes.groupBy("key").count().where("count > 1"), "node-sizes")
-            small = nodes.join(sizes.where(F.col("count") <= LEAF).select("key"), "key", "left_semi")
-            small = _by_key(small.select("key", "tree", "cls", "n", "sketch"))
-            found.append(stage(small.mapInArrow(_with_partner(how), "key long, tree int, cls long"), "leaves"))
-            large = nodes.join(sizes.where(F.col("count") > LEAF), "key")
-            if sizes.where(F.col("count") > LEAF).isEmpty():
+            sizes = nodes.groupBy("key").count().where("count > 1")
+            members = stage(nodes.join(sizes, "key"), "members")
+            small = members.where(F.col("count") <= LEAF).select("key", "tree", "cls", "n", "sketch")
+            found.append(stage(_by_key(small).mapInArrow(_with_partner(how), "key long, tree int, cls long"), "leaves"))
+            large = members.where(F.col("count") > LEAF)
+            if large.isEmpty():
                 break
             if level == LEVELS:
                 crowds = stage(large.select("key", "tree", "cls", F.col("count").alias("size")), "crowds")
