@@ -465,10 +465,11 @@ def one_of_each(docs: DataFrame, how: Similarity | None = None, key: str = "doc_
     goes by its own group."""
     mark, place, lost = clear_of(docs, "text_digest", "place", "lost")
     marked = docs.withColumn(mark, F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
-    pair = F.struct(F.col(key).alias("k"), F.col(mark).alias("m"))
+    # null keys come last, so that they give way to any other
+    pair = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col(mark).alias("m"))
     dropped = near_duplicates(marked.select(pair.alias("doc_id"), F.col(text).alias("text")), how)
-    # ordered by key first, so the smallest pair has the smallest key
-    gone = dropped.where(F.col("doc_id.k") != F.col("component_id.k")).select(F.col("doc_id").alias(lost)).distinct()
+    # ordered by key first, so the smallest one has the smallest key
+    gone = dropped.where(~F.col("doc_id.k").eqNullSafe(F.col("component_id.k"))).select(F.col("doc_id").alias(lost)).distinct()
     # as many as there are copies: never a broadcast
     keep = marked.withColumn(place, pair).join(gone.hint("merge"), F.col(place).eqNullSafe(F.col(lost)), "left_anti")
     return keep.select(*docs.columns)
