@@ -186,12 +186,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = range_hash(total, runs.sample, runs.sample + GRAM).view(np.int64)
             borders = np.searchsorted(runs.low, bounds)
             kept = np.flatnonzero(np.diff(borders))
-            text_of = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
-            places = (runs.sample - bounds[text_of]).astype(np.int32)
             cuts = pa.array(np.append(borders[kept], len(names)).astype(np.int32))
             ids = batch.column(0).slice(start, stop - start).take(pa.array(kept))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (names, places)]
-            yield pa.RecordBatch.from_arrays([ids, *lists], ["digest", "names", "starts"])
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(cuts, pa.array(names))], ["digest", "names"])
 
 
 def _round(level: int) -> Callable:
@@ -250,6 +247,15 @@ def _result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 NAMES = "digest long, names array<long>, starts array<int>"
 
 
+def _repeated_samples(names: DataFrame) -> DataFrame:
+    """Per text, ``2 * index`` of its samples whose names stand elsewhere too. Every text comes once
+    and every sample has a place of its own, so counting is enough."""
+    each = names.select("digest", F.posexplode("names").alias("at", "name"))
+    twice = each.groupBy("name").count().where("count > 1").select("name")
+    hit = each.join(twice.hint("merge"), "name", "left_semi")
+    return hit.groupBy("digest").agg(F.collect_list((F.col("at") * 2).cast("int")).alias("hit1"))
+
+
 def _repeated(names: DataFrame) -> DataFrame:
     """Per text, ``2 * index`` of its names that also stand at another place, plus 1 at one of them. A name at very many
     places is reduced to two places in each task before it is shuffled."""
@@ -268,9 +274,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).alias("doc_id"), body.alias("text"))
     rows = rows.withColumn("digest", F.xxhash64(F.md5(F.col("text").cast("binary")))).withColumn("n_bytes", F.octet_length("text").cast("long"))
     long_rows = rows.where(F.col("n_bytes") >= LENGTH).select("digest", "text")
-    hit = _repeated(long_rows.mapInArrow(_sampled, NAMES)).withColumnRenamed("hit", "hit1")
-    # texts with a repeated sample, once each
-    work = stage(long_rows.join(hit, "digest").groupBy("digest").agg(F.first("text").alias("text"), F.first("hit1").alias("hit1")), "texts")
+    # each text once; the sampling and the join below share this shuffle
+    texts = long_rows.groupBy("digest").agg(F.first("text").alias("text"))
+    hit = _repeated_samples(texts.mapInArrow(_sampled, "digest long, names array<long>"))
+    work = stage(texts.join(hit.hint("merge"), "digest"), "texts")
     for level in (2, 3, 4):
         names = stage(work.mapInArrow(_round(level), NAMES), "names")
         found = _repeated(names).withColumnRenamed("hit", f"hit{level}")
