@@ -253,6 +253,34 @@ def test_noise_inside_the_article(inside):
     assert html_text.main_text(f"<html><body><article>{body}</article></body></html>").split("\n") == want
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<main class='content with-sidebar'>{}</main>",
+        "<div class='has-sidebar'>{}</div>",
+        "<div class='has-sidebar'><div>{}</div></div>",
+        "<article class='post category-social'>{}</article>",
+        "<main><article class='post category-legal'>{}</article></main>",
+        "<div class='promo-page'><article class='category-alert'>{}</article></div>",
+        "<article><div class='widget-text'>{}</div></article>",
+        "<div class='content-date'></div><div class='no-sidebar'>{}</div>",
+    ],
+)
+def test_names_do_not_drop_the_article(wrap):
+    body = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    before = "".join(NOISE[k] for k in ("nav", "header", "ad", "notice"))
+    after = "".join(NOISE[k] for k in ("aside", "sidebar", "comments", "footer"))
+    page = f"<html><body>{before}{wrap.format(body)}{after}</body></html>"
+    assert html_text.main_text(page).split("\n") == ARTICLE
+
+
+def test_many_comments_beside_the_article_go():
+    said = "<article class='comment'><p>Great article, thanks. I liked it, a lot, as always.</p></article>" * 40
+    body = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    page = f"<html><body><main><article>{body}</article><section class='comments'>{said}</section></main></body></html>"
+    assert html_text.main_text(page).split("\n") == ARTICLE
+
+
 def test_quality_measures_are_those_of_plain_python(docs_of):
     rng = random.Random(4)
     texts = ["\n".join(prose(rng, rng.randrange(0, 6)) for _ in range(12)) + rng.choice(["", " a b a b a b", " x" * 9, "#$%"]) for _ in range(40)]

@@ -6,6 +6,11 @@ smoothed along the page, fused, and thresholded. The selected paths vote, by the
 container that holds the article. Inside an article container every block counts, short ones too;
 without one, the blocks on selected paths do.
 
+Class and id words such as "sidebar" or "comments" lower the scores of the paths below, the more so the less text
+they hold, and blocks of paths so named count only if selected all the same. The name of an element that is or holds
+the page's main article, or holds most text of the article or page, is not asked. What is so named beside the main
+article, and is and holds no other article, is left out.
+
 A page is a row of its own: the work is one map over rows, without a shuffle.
 
 Defined cases: null or empty html, and pages without content, give an empty string. Broken markup (unclosed
@@ -75,6 +80,11 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: what a score is multiplied by below a boilerplate name, and below one with less than SMALL of the text
+NAMED, NAMED_APART = 1 / 4, 1 / 32
+SMALL = 1 / 5
+#: an article element with less of the page's text is not its main article
+TINY = 1 / 20
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、！？]")
 
@@ -85,6 +95,8 @@ class Block:
     text: str
     linked: int
     heading: bool
+    #: number of the innermost article-like element, 0 outside
+    holder: int
 
 
 @dataclass
@@ -95,7 +107,15 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [-1])
     labels: list[str] = field(default_factory=lambda: [""])
     article: list[bool] = field(default_factory=lambda: [False])
-    place: list[int] = field(default_factory=lambda: [0])
+    #: paths of elements with a boilerplate name
+    named: list[bool] = field(default_factory=lambda: [False])
+    #: path of every article-like element
+    holders: list[int] = field(default_factory=lambda: [0])
+
+    def ancestors(self, path: int) -> Iterator[int]:
+        while path > 0:
+            yield path
+            path = self.parents[path]
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -109,10 +129,12 @@ def _unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
         return True
-    if attrs.get("role", "").lower() in _ROLES:
-        return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if tag in ("html", "body") or not names.strip():
+    return attrs.get("role", "").lower() in _ROLES
+
+
+def _named(tag: str, names: str, in_article: bool) -> bool:
+    """Whether class and id words call the element boilerplate. An article that its words also call one is not."""
+    if tag in ("html", "body", "main") or not names.strip() or (tag == "article" and _ARTICLE.search(names)):
         return False
     return bool(_BOILER.search(names)) or (not in_article and bool(_HEADER_NAME.search(names)))
 
@@ -120,9 +142,9 @@ def _unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 def parse(source: str) -> Page:
     """Blocks with their paths. Inline elements are part of their block and not of the path."""
     page = Page()
-    known: dict[tuple[int, str], int] = {}
-    # open block elements: (tag, path, dropped, in an article)
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    known: dict[tuple[int, str, bool, bool], int] = {}
+    # open block elements: (tag, path, dropped, innermost article-like element)
+    stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
     pieces: list[str] = []
     linked, link_depth = 0, 0
 
@@ -132,9 +154,9 @@ def parse(source: str) -> Page:
             text = _SPACE.sub(" ", "".join(pieces)).strip()
             pieces.clear()
             if text:
-                tag, path, dropped, _ = stack[-1]
+                tag, path, dropped, holder = stack[-1]
                 if not dropped:
-                    page.blocks.append(Block(path, text, min(linked, len(text)), tag in HEADINGS))
+                    page.blocks.append(Block(path, text, min(linked, len(text)), tag in HEADINGS, holder))
         linked = 0
 
     def said(raw: str) -> None:
@@ -197,27 +219,67 @@ def parse(source: str) -> Page:
         if m[3].rstrip().endswith("/") and tag in ("svg", "path", "iframe"):
             continue
         attrs = _attributes(m[3])
-        _, parent, dropped, in_article = stack[-1]
+        _, parent, dropped, holder = stack[-1]
         name = (attrs.get("class") or attrs.get("id") or "").split()
         label = f"{tag}.{name[0].lower()}" if name else tag
-        path = known.get((parent, label))
+        names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+        article = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or bool(_ARTICLE.search(names))
+        named = _named(tag, names, holder > 0)
+        path = known.get((parent, label, article, named))
         if path is None:
-            path = known[(parent, label)] = len(page.parents)
+            path = known[(parent, label, article, named)] = len(page.parents)
             page.parents.append(parent)
             page.labels.append(label)
-            names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-            page.article.append(
-                tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or bool(_ARTICLE.search(names))
-            )
-        dropped = dropped or _unwanted(tag, attrs, in_article)
-        stack.append((tag, path, dropped, in_article or page.article[path]))
+            page.article.append(article)
+            page.named.append(named)
+        dropped = dropped or _unwanted(tag, attrs, holder > 0)
+        if article:
+            holder = len(page.holders)
+            page.holders.append(path)
+        stack.append((tag, path, dropped, holder))
     flush()
     return page
 
 
+def name_factors(page: Page) -> dict[int, float]:
+    """What boilerplate names multiply the score of every path that has blocks with; 1 without such a name."""
+    text: dict[int, int] = {}
+    for b in page.blocks:
+        text[b.holder] = text.get(b.holder, 0) + len(b.text)
+    total = sum(text.values())
+    tagged = {p for p in page.holders if page.labels[p].split(".")[0] in ("article", "main")}
+    # short elements that only their words call an article may be its title or date
+    text = {h: n for h, n in text.items() if h and n >= total * (TINY if page.holders[h] in tagged else SMALL)}
+
+    def size(holder: int) -> float:
+        return text[holder] * (NAMED if any(page.named[p] for p in page.ancestors(page.holders[holder])) else 1)
+
+    # the main article: the article-like element with the most text of its own
+    main = page.holders[max(text, key=lambda h: (size(h), -h))] if text else 0
+    around = set(page.ancestors(main))
+    under: dict[int, int] = {}
+    for b in page.blocks:
+        for p in page.ancestors(b.path):
+            under[p] = under.get(p, 0) + len(b.text)
+    whole = under[main] if main else total
+
+    over_articles = {up for p in tagged if not page.named[p] for up in page.ancestors(p)}
+
+    def factor(named: int) -> float:
+        if named in around:
+            return 1.0
+        if main and main not in page.ancestors(named):
+            return NAMED if named in tagged else NAMED_APART if named in over_articles else 0.0
+        if under[named] < SMALL * whole:
+            return NAMED_APART
+        return 1.0 if 2 * under[named] > whole else NAMED
+
+    return {path: min((factor(p) for p in page.ancestors(path) if page.named[p]), default=1.0) for path in {b.path for b in page.blocks}}
+
+
 def path_scores(page: Page) -> dict[int, float]:
     """Fused score of every path that has blocks: its text and punctuation per block without the
-    linked part, and the same smoothed along the page."""
+    linked part, and the same smoothed along the page, lowered by names."""
     chars: dict[int, float] = {}
     marks: dict[int, float] = {}
     links: dict[int, float] = {}
@@ -237,7 +299,8 @@ def path_scores(page: Page) -> dict[int, float]:
         near = [(series[i + k], w) for k, w in zip(range(-2, 3), weights) if 0 <= i + k < len(series)]
         value = sum(x * w for x, w in near) / sum(w for _, w in near)
         smooth[b.path] = smooth.get(b.path, 0.0) + value / nodes[b.path]
-    return {p: math.sqrt(ratio[p] * smooth[p]) for p in nodes}
+    factors = name_factors(page)
+    return {p: math.sqrt(ratio[p] * smooth[p]) * factors[p] for p in nodes}
 
 
 def main_text(source: str | None) -> str:
@@ -252,27 +315,23 @@ def main_text(source: str | None) -> str:
     # threshold: a third of the text-weighted mean, so that it follows the page's own main text
     mean = sum(scores[p] * w for p, w in weight.items()) / sum(weight.values())
     chosen = {p for p in scores if scores[p] >= mean / 3}
-
-    def ancestors(path: int) -> Iterator[int]:
-        while path > 0:
-            yield path
-            path = page.parents[path]
-
+    factors = name_factors(page)
+    left_out = {p for p in scores if factors[p] < 1 and p not in chosen}
     votes: dict[int, int] = {}
     total = 0
     for p in chosen:
         total += weight[p]
-        for up in ancestors(p):
+        for up in page.ancestors(p):
             votes[up] = votes.get(up, 0) + weight[p]
     # the deepest article-like element that holds most of the chosen text
     holders = [p for p, v in votes.items() if page.article[p] and 2 * v > total]
-    container = max(holders, key=lambda p: (sum(1 for _ in ancestors(p)), -p), default=None)
+    container = max(holders, key=lambda p: (sum(1 for _ in page.ancestors(p)), -p), default=None)
     if container is not None:
-        inside = {p for p in weight if container in ancestors(p)}
+        inside = {p for p in weight if container in page.ancestors(p)} - left_out
         return "\n".join(b.text for b in page.blocks if b.path in inside)
     picked = [b.path in chosen for b in page.blocks]
     for i in range(len(picked) - 2, -1, -1):  # a heading belongs to the content it stands above
-        picked[i] = picked[i] or (page.blocks[i].heading and picked[i + 1])
+        picked[i] = picked[i] or (page.blocks[i].heading and picked[i + 1] and page.blocks[i].path not in left_out)
     return "\n".join(b.text for b, p in zip(page.blocks, picked) if p)
 
 
