@@ -274,6 +274,24 @@ def test_names_do_not_drop_the_article(wrap):
     assert html_text.main_text(page).split("\n") == ARTICLE
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<article><div class='content'>{}</div><section>{}</section></article>",
+        "<article><section>{}</section><div class='content'>{}</div></article>",
+        "<main><article class='post'>{}</article><div>{}</div></main>",
+        "<div><div class='content'>{}</div><section>{}</section></div>",
+        "<main><article class='a'><div class='content'>{}</div></article><article class='b'>{}</article></main>",
+    ],
+)
+@pytest.mark.parametrize("first", [1, 2, 3, 6, 8, 9])
+def test_parts_of_an_article_outside_its_largest_container(wrap, first):
+    said = [f"Paragraph {i} has several sentences, with commas. It goes on, and on, until it ends." for i in range(10)]
+    parts = ["".join(f"<p>{p}</p>" for p in x) for x in (said[:first], said[first:])]
+    page = f"<html><body>{NOISE['nav']}{wrap.format(*parts)}{NOISE['footer']}</body></html>"
+    assert html_text.main_text(page).split("\n") == said
+
+
 def test_many_comments_beside_the_article_go():
     said = "<article class='comment'><p>Great article, thanks. I liked it, a lot, as always.</p></article>" * 40
     body = "".join(f"<p>{p}</p>" for p in ARTICLE)

@@ -3,8 +3,9 @@
 Every text block of a page has a root-to-leaf path of block elements (with their first class or id).
 Per path the text length, punctuation and linked text of all its blocks are added up; the ratios are
 smoothed along the page, fused, and thresholded. The selected paths vote, by their text, for the
-container that holds the article. Inside an article container every block counts, short ones too;
-without one, the blocks on selected paths do.
+container that holds the article. Inside an article container every block counts, short ones too, and so do the
+blocks on selected paths in the same outermost article element. Without a container, or if it holds less than nearly
+all of the selected text, all blocks on selected paths count.
 
 Class and id words such as "sidebar" or "comments" lower the scores of the paths below, the more so the less text
 they hold, and blocks of paths so named count only if selected all the same. The name of an element that is or holds
@@ -85,6 +86,8 @@ NAMED, NAMED_APART = 1 / 4, 1 / 32
 SMALL = 1 / 5
 #: an article element with less of the page's text is not its main article
 TINY = 1 / 20
+#: share of the chosen text that a deeper container has to keep
+NEARLY_ALL = 0.95
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、！？]")
 
@@ -323,15 +326,24 @@ def main_text(source: str | None) -> str:
         total += weight[p]
         for up in page.ancestors(p):
             votes[up] = votes.get(up, 0) + weight[p]
-    # the deepest article-like element that holds most of the chosen text
+    # from the outermost article-like element with most of the chosen text down, while nearly all of it is kept
     holders = [p for p, v in votes.items() if page.article[p] and 2 * v > total]
-    container = max(holders, key=lambda p: (sum(1 for _ in page.ancestors(p)), -p), default=None)
+    depth = {p: sum(1 for _ in page.ancestors(p)) for p in holders}
+    container = None
+    for p in sorted(holders, key=lambda p: (depth[p], p)):
+        if container is None or votes[p] >= NEARLY_ALL * votes[container]:
+            container = p
+    inside: set[int] = set()
+    near = chosen
     if container is not None:
         inside = {p for p in weight if container in page.ancestors(p)} - left_out
-        return "\n".join(b.text for b in page.blocks if b.path in inside)
-    picked = [b.path in chosen for b in page.blocks]
-    for i in range(len(picked) - 2, -1, -1):  # a heading belongs to the content it stands above
-        picked[i] = picked[i] or (page.blocks[i].heading and picked[i + 1] and page.blocks[i].path not in left_out)
+        if votes[container] >= NEARLY_ALL * total:
+            top = [p for p in page.ancestors(container) if page.article[p]][-1]
+            near = {p for p in chosen if top in page.ancestors(p)}
+    picked = [b.path in inside or b.path in near for b in page.blocks]
+    if near is chosen:
+        for i in range(len(picked) - 2, -1, -1):  # a heading belongs to the content it stands above
+            picked[i] = picked[i] or (page.blocks[i].heading and picked[i + 1] and page.blocks[i].path not in left_out)
     return "\n".join(b.text for b, p in zip(page.blocks, picked) if p)
 
 
