@@ -292,6 +292,21 @@ def test_parts_of_an_article_outside_its_largest_container(wrap, first):
     assert html_text.main_text(page).split("\n") == said
 
 
+@pytest.mark.parametrize("mark", ['"', "'"])
+def test_long_quoted_values(mark):
+    inner = ("<p class=~ad~ hidden> a > b, it says. </p>" * 2500).replace("~", "'" if mark == '"' else '"')
+    body = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    hidden = f"<div data-x={mark}{inner}{mark} class='comments'><p>Great article, thanks.</p></div>"
+    page = f"<html><body><article data-x={mark}{inner}{mark} class='post'>{body}{hidden}</article></body></html>"
+    assert len(inner) > 100_000 and html_text.main_text(page).split("\n") == ARTICLE
+
+
+@pytest.mark.parametrize("tag", ['<p class="x>', "<p class='x>", '<p title="a"">', "<p it's>", '<p title="">', "<p data-x=a=b title='c='>"])
+def test_quotes_without_a_partner_take_no_text(tag):
+    body = "".join(f"{tag}{p} <a href='/x' class=\"y\">Link</a></p>" for p in ARTICLE)
+    assert html_text.main_text(f"<article>{body}</article>").split("\n") == [f"{p} Link" for p in ARTICLE]
+
+
 def test_many_comments_beside_the_article_go():
     said = "<article class='comment'><p>Great article, thanks. I liked it, a lot, as always.</p></article>" * 40
     body = "".join(f"<p>{p}</p>" for p in ARTICLE)

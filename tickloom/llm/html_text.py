@@ -75,12 +75,16 @@ _ARTICLE = re.compile(
     r"(?:^|[\s_-])(?:article\w*|main|content|post|story\w*|entry|post-?body|body-?text|main-?content|text-?body)(?:$|[\s_-])", re.I
 )
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
+#: a quoted value of any length, if there is one. A quote that is not closed is a plain character; so is one whose next
+#: like quote begins another value (="x).
+_QUOTED = r"""(?:"[^"]*+"(?:(?<!=")|(?=[\s>]|/>|\Z))|'[^']*+'(?:(?<!=')|(?=[\s>]|/>|\Z)))"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]{0,4000}\"|'[^']{0,4000}'|[^>\"']|[\"'])*?)(?:>|\Z)",
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+{_QUOTED}?+)*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+(?:({_QUOTED})|([^\s>]++)))?+")
+_READ = frozenset("class id role hidden aria-hidden style".split())
 #: what a score is multiplied by below a boilerplate name, and below one with less than SMALL of the text
 NAMED, NAMED_APART = 1 / 4, 1 / 32
 SMALL = 1 / 5
@@ -122,7 +126,12 @@ class Page:
 
 
 def _attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(source)} if source.strip(" /") else {}
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(source):
+        name = m[1].lower()
+        if name in _READ:
+            found.setdefault(name, m[2][1:-1] if m[2] else (m[3] or "").strip("\"'"))
+    return found
 
 
 def _unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
