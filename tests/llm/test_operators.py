@@ -161,6 +161,27 @@ def test_line_chunks_move_with_their_lines(docs_of):
     assert len(left) < 15 and not set(left[6:-6]) & set(passage)
 
 
+def test_passages_go_at_any_offset(docs_of):
+    rng = random.Random(11)
+    passages = [[prose(rng, 60 // n) for _ in range(n)] for n in (2, 3, 4, 5, 9) for _ in range(6)]
+    own = iter(prose(rng, 12) for _ in range(9999))
+    place = lambda p, before, after: [*itertools.islice(own, before), *p, *itertools.islice(own, after)]
+    texts = [place(p, rng.randrange(4), rng.randrange(4)) for p in passages]
+    few = [prose(rng, 20), prose(rng, 20)]  # not over 50 words
+    texts += [place(p, i % 5, i % 3) for i, p in enumerate(passages)] + [few, few]
+    out = {r.doc_id: r for r in line_dedup.without_passages(docs_of(["\n".join(t) for t in texts])).collect()}
+    n = len(passages)
+    for i, p in enumerate(passages):
+        assert out[i].text == "\n".join(texts[i]) and out[i].cut is None
+        assert out[n + i].text == "\n".join(x for x in texts[n + i] if x not in p)
+    assert [r.text for r in (out[2 * n], out[2 * n + 1])] == ["\n".join(few)] * 2
+
+
+def test_passages_of_odd_rows(odd_docs):
+    cut = line_dedup.without_passages(odd_docs)
+    assert cut.columns == [*odd_docs.columns, "_cut"] and cut.count() == odd_docs.count()
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame(
         [(s, g, t, float(100 + 37 * (i % 7))) for i, (s, g, t) in enumerate(itertools.product("abc", ("en", "de"), ("x", "y")))],

@@ -10,6 +10,11 @@ anywhere are removed but for the first occurrence (smallest key, then place in t
    removes nothing.
 3. Later occurrences are listed per document and cut out of its text.
 
+``without_passages`` is the whole search: chunks miss the lines of a shared passage up to its first border and after
+its last one, and passages of few lines altogether. It looks at every two neighbouring lines instead, so a run of two
+or more copied lines is found at any offset, to its last line on both sides. The registered queries use chunks, as
+their SQL does.
+
 Columns and SQL functions only. A chunk that very many documents hold is one row per task before its
 first occurrence is found; joins that bring the rows of a hot digest together are ones that adaptive
 execution splits.
@@ -21,16 +26,21 @@ keep or lose the same chunks. Null keys sort first. Columns other than key and t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.session import stage
 
-from .common import WHITE_CHARS, clear_of, let
+from .common import WHITE_CHARS, clear_of, let, white_words
 
 WINDOW = 2
 #: first digits of the window's md5 that end a chunk: one line in four on average
 ENDING = "3"
+#: passages of up to so many words stay
+MIN_WORDS = 50
 
 
 def chunk_ends(lines: Column) -> Column:
@@ -105,9 +115,74 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return joined.withColumn(text, F.when(F.col(cut).isNull(), F.col(text)).otherwise(rest))
 
 
-def counted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: lines, removed chunks and lines, and the digest of what is left."""
-    out = without_repeats(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(text).alias("whole")))
+def line_pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``doc_id, whole, no, digest, first_words, second_words`` of every two neighbouring lines with a word; ``whole``
+    is the digest of the row's text."""
+
+    def pairs(lines: Column) -> Column:
+        def pair(i: Column) -> Column:
+            a, b = F.get(lines, i), F.get(lines, i + 1)
+            return F.struct(
+                i.alias("no"),
+                F.unhex(F.sha2(F.concat_ws("\n", a, b), 256)).alias("digest"),
+                F.size(white_words(a)).alias("first_words"),
+                F.size(white_words(b)).alias("second_words"),
+            )
+
+        return F.when(F.size(lines) > 1, F.transform(F.sequence(F.lit(0), F.size(lines) - 2), pair))
+
+    rows = docs.where(F.col(text).isNotNull())
+    rows = rows.select(
+        F.col(key).alias("doc_id"),
+        F.md5(F.col(text).cast("binary")).alias("whole"),
+        F.explode(let(F.split(text, "\n", -1), pairs)).alias("p"),
+    )
+    return rows.select("doc_id", "whole", "p.*").where(F.col("first_words") + F.col("second_words") > 0)
+
+
+def copied_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, whole, start, n_lines`` of all runs of two or more lines with over ``min_words`` words, each line of
+    which stands with a neighbour of the run at an earlier place (by key, then digest of the text, then line)."""
+    place = F.struct("doc_id", "whole", "no")
+    found = line_pairs(docs, key, text)
+    firsts = (
+        found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
+    )
+    # as many as there are repeated pairs: never a broadcast
+    later = found.join(firsts.hint("merge"), "digest").where(~place.eqNullSafe(F.col("first")))
+    later = later.select("doc_id", "whole", "no", "first_words", "second_words").distinct()
+    # pairs whose numbers follow on each other have the same difference to their rank
+    rank = F.row_number().over(Window.partitionBy("doc_id", "whole").orderBy("no"))
+    runs = later.withColumn("run", F.col("no") - rank).groupBy("doc_id", "whole", "run")
+    words = F.sum("first_words") + F.max_by("second_words", "no")
+    runs = runs.agg(F.min("no").alias("start"), (F.count("*") + 1).cast("int").alias("n_lines"), words.alias("n_words"))
+    return runs.where(F.col("n_words") > min_words).select("doc_id", "whole", "start", "n_lines")
+
+
+def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without copied passages, and what was cut in a column ``cut`` (array of ``start, n_lines``; null where
+    nothing was; renamed if ``docs`` has a column of that name)."""
+    cut, owner, whole = clear_of(docs, "cut", "cut_from", "cut_whole")
+    per_doc = (
+        copied_passages(docs, key, text, min_words).groupBy(F.col("doc_id").alias(owner), F.col("whole").alias(whole))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "n_lines"))).alias(cut))
+    )
+    same = docs[key].eqNullSafe(per_doc[owner]) & (F.md5(docs[text].cast("binary")) == per_doc[whole])
+    joined = docs.join(per_doc.hint("merge"), same, "left").drop(owner, whole)
+
+    def kept(line: Column, i: Column) -> Column:
+        return ~F.exists(F.col(cut), lambda x: (i >= x["start"]) & (i < x["start"] + x["n_lines"]))
+
+    rest = F.array_join(F.filter(F.split(text, "\n", -1), kept), "\n")
+    return joined.withColumn(text, F.when(F.col(cut).isNull(), F.col(text)).otherwise(rest))
+
+
+def counted(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", cutter: Callable[[DataFrame], DataFrame] = without_repeats
+) -> DataFrame:
+    """Per row: lines, removed chunks (or passages) and lines, and the digest of what is left."""
+    out = cutter(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(text).alias("whole")))
     zero = F.lit(0).cast("long")
     cut_lines = F.aggregate("cut", zero, lambda total, x: total + x["n_lines"])
     lines = F.length("whole") - F.length(F.translate(F.col("whole"), "\n", "")) + 1
