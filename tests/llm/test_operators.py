@@ -197,6 +197,23 @@ def test_raking_meets_the_targets(spark):
     assert max(r.probability for r in rows) == 1.0
 
 
+@pytest.mark.parametrize("total", [0.1, 0.9])
+def test_a_rare_cell_does_not_shrink_the_sample(spark, total):
+    cells = [(s, g, t, 1e6 + 1e5 * i) for i, (s, g, t) in enumerate(itertools.product("abc", ("en", "de"), ("x", "y")))]
+    cells += [("rare", "xx", "z", 10.0), ("a", "none", "x", 0.0)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    rows = mixing.raked(table, total=total).join(table, ["source", "lang", "topic"]).collect()
+    everything = sum(r.tokens for r in rows)
+    assert len(rows) == len(cells) and all(0 < r.probability <= 1 for r in rows)
+    assert sum(r.tokens * r.probability for r in rows) == pytest.approx(total * everything, rel=1e-4)
+    assert all(r.probability == 1.0 for r in rows if r.source == "rare" or r.tokens == 0)
+    if total == 0.1:  # with room to the tokens of every other cell, the targets are met
+        powers = {s: sum(r.tokens for r in rows if r.source == s) ** mixing.TEMPER["source"] for s in "abc"}
+        drawn = {s: sum(r.tokens * r.probability for r in rows if r.source == s) for s in "abc"}
+        for s in "abc":
+            assert drawn[s] / sum(drawn.values()) == pytest.approx(powers[s] / sum(powers.values()), abs=1e-3)
+
+
 def test_cascade_asks_the_best_rule_first(spark, docs_of):
     docs = docs_of(["a " * 60] * 20 + [prose(random.Random(1), 80)] * 20)
     measured = quality.measure(docs, quality.BASE_RULES + quality.METHOD_RULES)

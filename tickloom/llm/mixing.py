@@ -9,6 +9,11 @@ below that probability, so a sample can be repeated.
 Targets default to tempered shares: a value's share of the tokens to a power below one, normalised, so
 that large sources shrink and small ones grow; a table of shares may be given instead.
 
+One rare cell with a high factor so shrinks the whole sample. With ``total``, the share of the tokens to draw, the
+factors are scaled to meet it instead: cells whose probability would exceed 1 are taken whole, and the weights of the
+others are raked and scaled again for what is left of targets and total. The registered queries give no total, as their
+SQL has none.
+
 Only cells are raked, never rows of documents; the cell table is written once and has at most as many
 rows as there are combinations. Columns and SQL functions only.
 
@@ -69,9 +74,13 @@ def raked(
     targets: Mapping[str, DataFrame] | None = None,
     rounds: int = ROUNDS,
     temper: Mapping[str, float] = TEMPER,
+    total: float | None = None,
 ) -> DataFrame:
     """``source, lang, topic, probability`` of the cells; ``targets`` has a table (value, share) per
-    dimension. Values without a target are left as they are."""
+    dimension. Values without a target are left as they are. ``total`` is the share of all tokens to draw, above 0 and
+    up to 1; without it, the cell with the largest factor is drawn whole."""
+    if total is not None and not 0 < total <= 1:
+        raise ValueError(f"total must be above 0 and up to 1, not {total}")
     spark = cells.sparkSession
     cells = stage(cells, "cells")
     everything = Window.partitionBy(F.lit(0))
@@ -92,12 +101,50 @@ def raked(
             )
             state = state.withColumn("weight", F.coalesce(scaled, "weight"))
         state = stage(state, "rake")  # short plans: each round reads the last one's table
+    if total is not None:
+        return stage(_to_total(state, rounds, total).select(*DIMENSIONS, "probability"), "probabilities")
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
     state = state.withColumn("factor", factor)
     probability = F.coalesce(F.round(F.col("factor") / F.max("factor").over(everything), 6), F.lit(1.0))
     return stage(state.select(*DIMENSIONS, probability.alias("probability")), "probabilities")
 
 
+def _to_total(state: DataFrame, rounds: int, total: float) -> DataFrame:
+    """Raked cells with the ``probability`` that draws ``total`` of the tokens. Weights are scaled to the total and cut at
+    the tokens of their cell, then those of cells not taken whole are raked for what whole cells leave of the targets;
+    last, they are scaled to what is left of the total, exactly."""
+    everything = Window.partitionBy(F.lit(0))
+    tokens, weight, whole = F.col("tokens"), F.col("weight"), F.col("whole")
+    wanted = total * F.sum("tokens").over(everything)
+
+    def scaled(cells: DataFrame) -> DataFrame:
+        """Weights times the one number with which they, cut at the cells' tokens, add up to what is wanted. Whole cells
+        stay whole."""
+        # cells in the order in which a growing number cuts them; the number that cuts none before the i-th fits
+        ranked = Window.partitionBy(F.lit(0)).orderBy(whole.desc(), F.try_divide(weight, tokens).desc_nulls_last(), *DIMENSIONS)
+        before = F.coalesce(F.sum("tokens").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        rest = F.sum("weight").over(ranked.rowsBetween(0, Window.unboundedFollowing))
+        cells = cells.withColumn("times", F.when(~whole & (tokens > 0) & (weight > 0), F.try_divide(wanted - before, rest)))
+        fits = F.when(F.col("times") * weight <= tokens * (1 + 1e-12), F.col("times"))
+        cells = cells.withColumn("times", F.max(fits).over(everything))
+        cut = F.when(whole, tokens).otherwise(F.least(tokens, F.coalesce(weight * F.col("times"), tokens)))
+        return cells.withColumn("weight", cut).withColumn("whole", F.col("weight") >= tokens * (1 - 1e-12)).drop("times")
+
+    state = stage(scaled(state.withColumn("whole", F.lit(False))), "rake")
+    for _ in range(rounds):
+        for d in DIMENSIONS:
+            mine = Window.partitionBy(d)
+            taken = F.coalesce(F.sum(F.when(whole, weight)).over(mine), F.lit(0.0))
+            others = F.sum(F.when(~whole, weight)).over(mine)
+            left = F.greatest(F.col(f"want_{d}") * wanted - taken, F.lit(0.0))
+            # a value that whole cells fill already keeps a small part of its weight
+            times = F.greatest(F.try_divide(left, others), F.lit(0.01))
+            state = state.withColumn("weight", F.when(~whole & F.col(f"want_{d}").isNotNull() & (others > 0), weight * times).otherwise(weight))
+        state = stage(scaled(state), "rake")
+    chance = F.greatest(F.lit(1e-6), F.least(F.lit(1.0), F.round(F.try_divide(weight, tokens), 6)))  # no cell is left out
+    return state.withColumn("probability", F.when(tokens > 0, chance).otherwise(1.0))
+
+
 def drawn(rows: DataFrame, probabilities: DataFrame) -> DataFrame:
     """``rows`` with ``probability`` and ``kept``."""
     out = rows.join(probabilities, list(DIMENSIONS), "left")
@@ -105,16 +152,16 @@ def drawn(rows: DataFrame, probabilities: DataFrame) -> DataFrame:
     return out.withColumn("kept", kept)
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def calibrated(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = None) -> DataFrame:
     """``doc_id, source, lang, topic, n_tokens, probability, kept`` of every row."""
     rows = stage(celled(docs), "celled")
-    out = drawn(rows, raked(cells_of(rows), targets))
+    out = drawn(rows, raked(cells_of(rows), targets, total=total))
     return out.select("doc_id", *DIMENSIONS, "n_tokens", "probability", "kept")
 
 
-def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = None) -> DataFrame:
     """The drawn rows of ``docs``, plus their ``topic`` and ``probability`` (under other names if taken)."""
-    probabilities = raked(cells_of(stage(celled(docs), "celled")), targets)
+    probabilities = raked(cells_of(stage(celled(docs), "celled")), targets, total=total)
     topic, chance, s, g, t = clear_of(docs, "topic", "probability", "cell_source", "cell_lang", "cell_topic")
     marked = docs.withColumn(topic, topic_of(F.col("text")))
     cells = probabilities.select(
