@@ -33,7 +33,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_queries_without_sql_are_tested_elsewhere():
-    assert set(QUERIES) - set(SQL) == {"op3_html_extraction", "op5_suffix_dedup", "op8_toxicity"}
+    assert set(QUERIES) - set(SQL) == {"op3_html_extraction", "op5_suffix_dedup", "op8_toxicity", "op11_embedding_whitening"}
 
 
 def test_stages_keep_the_columns(spark, small):

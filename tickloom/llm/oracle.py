@@ -248,6 +248,72 @@ kept_4 AS MATERIALIZED (SELECT {columns} FROM ({overlap_rows("kept_3")}) WHERE n
 SELECT {columns}, topic, probability FROM ({mixed("kept_4")}) WHERE kept"""
 
 
+def sharding(docs: str, shards: int, whole_percent: int) -> str:
+    return f"""
+WITH crc AS (
+  SELECT list(list_reduce([i::UBIGINT] || [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+                          lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+texts AS (SELECT DISTINCT coalesce(text, '') AS body, hex(encode(coalesce(text, ''))) AS digits FROM {docs}),
+sums AS (
+  SELECT body, md5(body) AS digest,
+         xor(list_reduce([4294967295::UBIGINT] ||
+                         list_transform(range(0, length(digits), 2), lambda k: ('0x' || substr(digits, k + 1, 2))::UBIGINT),
+                         lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM texts, crc),
+records AS (
+  SELECT doc_id, strlen(body) + 1 AS size, text_crc32, digest, coalesce(doc_id::VARCHAR, '') AS name
+  FROM {docs} JOIN sums ON coalesce(text, '') = body),
+running AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY digest, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         row_number() OVER (ORDER BY digest, name) AS place, sum(size) OVER () AS total,
+         sum(size) OVER (PARTITION BY digest) AS group_size
+  FROM records),
+grouped AS (
+  SELECT *, min(start) OVER (PARTITION BY digest) AS group_start, group_size * 100 * {shards} <= {whole_percent} * total AS together
+  FROM running),
+sharded AS (
+  SELECT *, (((CASE WHEN together THEN 2 * group_start + group_size ELSE 2 * start + size END) * {shards}) // (2 * total))::INT AS shard
+  FROM grouped)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, NULL::INT AS grown_shard
+FROM sharded"""
+
+
+def collocations(docs: str, least: int, top: int) -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?
+-]')) AS piece
+  FROM {docs}),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda w: w <> '') AS ws FROM pieces),
+grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: ws[i : i + n - 1])) AS gram
+  FROM split, range(1, 4) r(n) WHERE len(ws) >= n),
+counts AS MATERIALIZED (SELECT lang, gram, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f) AS n FROM counts WHERE len(gram) = 1 GROUP BY lang),
+phrases AS MATERIALIZED (SELECT lang, gram, f AS a FROM counts WHERE len(gram) > 1 AND f >= {least}),
+cuts AS (
+  SELECT p.lang, p.gram, a, k, one.f AS l, two.f AS r, (1000000::HUGEINT * a * a) // (one.f::HUGEINT * two.f) AS score
+  FROM phrases p, range(1, 3) r(k)
+  JOIN counts one ON one.lang = p.lang AND one.gram = p.gram[1 : k]
+  JOIN counts two ON two.lang = p.lang AND two.gram = p.gram[k + 1 : ]
+  WHERE k < len(p.gram)),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, gram, max(f) AS longer FROM (
+    SELECT lang, gram[1 : 2] AS gram, a AS f FROM phrases WHERE len(gram) = 3
+    UNION ALL SELECT lang, gram[2 : 3], a FROM phrases WHERE len(gram) = 3) GROUP BY ALL),
+free AS (
+  SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, score
+  FROM lowest LEFT JOIN inside USING (lang, gram) WHERE len(gram) = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM free JOIN sizes USING (lang) QUALIFY rank <= {top}"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality("documents"),
     "op2_decontamination": overlaps("documents"),
@@ -256,6 +322,8 @@ ORACLE: dict[str, str] = {
     "op7_mixing": mixing("documents"),
     "op9_line_dedup": lines("documents"),
     "op10_chat_formatting": chat("conversations"),
+    "op12_sharding": sharding("documents", 16, 1),
+    "op13_phrase_collocations": collocations("documents", 10, 2000),
 }
 
 #: of the whole pipeline

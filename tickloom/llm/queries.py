@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, chat, decontamination, html_text, line_dedup, mixing, near_dedup, quality, substring_dedup, toxicity
+from . import (
+    backoff,
+    chat,
+    collocations,
+    decontamination,
+    html_text,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    substring_dedup,
+    toxicity,
+    whitening,
+)
 from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -94,3 +108,22 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     out = chat.digests(chat.conversations_formatted(rows.unionByName(added)))
     digests = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
     return out.select(*digests, F.col("order_error").isNull().alias("in_order"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.component_rows(table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    out = sharding.placed(table(spark, folder, "documents"))
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
