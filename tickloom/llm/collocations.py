@@ -51,6 +51,8 @@ _FOLD[:9] += 1
 _UNFOLD = bytes([0, *range(9), *range(10, 256)])
 _JOIN = b"\0"
 
+_AT_ONCE = 64
+
 RUN = "n int, first binary, last binary, lengths binary, keys binary, counts binary"
 
 
@@ -62,9 +64,9 @@ class Collocations:
     #: a phrase goes if a longer one around it has at least this percentage of its count
     inside_percent: int = 50
     top: int = 2000
-    run_bytes: int = 16 << 20
+    run_bytes: int = 3 << 20
     block: int = 4096
-    per_range: int = 1_500_000
+    per_range: int = 700_000
     #: bound of the sample of block keys on the driver
     sampled: int = 200_000
 
@@ -111,9 +113,10 @@ def _ngrams(raw: np.ndarray, borders: np.ndarray, langs: pa.Array, longest: int)
     turn = np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
     # texts next to each other with no separator between them
     glued = borders[:-1][(borders[:-1] > 0) & (borders[:-1] < len(raw))]
-    glued = np.unique(glued[inside[glued - 1] & inside[glued]])
-    starts = np.union1d(np.flatnonzero(turn == 1), glued)
-    ends = np.union1d(np.flatnonzero(turn == -1), glued)
+    glued = glued[inside[glued - 1] & inside[glued]]
+    glued = glued[np.diff(glued, prepend=-1) > 0]
+    starts = np.sort(np.concatenate([np.flatnonzero(turn == 1), glued]))
+    ends = np.sort(np.concatenate([np.flatnonzero(turn == -1), glued]))
     del turn
     if not len(starts):
         return
@@ -152,24 +155,23 @@ def _ngrams(raw: np.ndarray, borders: np.ndarray, langs: pa.Array, longest: int)
         yield _joined(keys), counts
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
-
+class _Blocks:
+    """Packs and unpacks blocks; one per task, as compressors are costly to make."""
 
-def _block(keys: pa.Array, counts: np.ndarray) -> tuple:
-    keys = pa.concat_arrays([keys])
-    offsets = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset : keys.offset + len(keys) + 1]
-    data = keys.buffers()[2][int(offsets[0]) : int(offsets[-1])]
-    packed = zstandard.compress(data.to_pybytes(), 1)
-    return len(keys), keys[0].as_py(), keys[-1].as_py(), _pack(np.diff(offsets).astype(np.uint32)), packed, _pack(counts.astype(np.int64))
+    def __init__(self) -> None:
+        self.zip = zstandard.ZstdCompressor(level=3).compress
+        self.unzip = zstandard.ZstdDecompressor().decompress
 
+    def pack(self, keys: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
+        offsets = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset : keys.offset + len(keys) + 1]
+        data = keys.buffers()[2][int(offsets[0]) : int(offsets[-1])]
+        return self.zip(np.diff(offsets).astype(np.uint32).tobytes()), self.zip(data), self.zip(counts.astype(np.int64).tobytes())
 
-def _unblock(lengths: bytes, keys: bytes, counts: bytes) -> tuple[pa.Array, np.ndarray]:
-    sizes = np.frombuffer(zstandard.decompress(lengths), np.uint32)
-    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    data = pa.py_buffer(zstandard.decompress(keys))
-    array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), data])
-    return array, np.frombuffer(zstandard.decompress(counts), np.int64)
+    def unpack(self, lengths: bytes, keys: bytes, counts: bytes) -> tuple[pa.Array, np.ndarray]:
+        sizes = np.frombuffer(self.unzip(lengths), np.uint32)
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(self.unzip(keys))]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), buffers), np.frombuffer(self.unzip(counts), np.int64)
 
 
 def _batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -186,6 +188,11 @@ def runs(docs: DataFrame, text: str, lang: str, how: Collocations) -> DataFrame:
     rows = docs.select(name.alias("lang"), F.col(text).cast("string").alias("text"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _Blocks()
+
+        def block(keys: pa.Array, counts: np.ndarray) -> tuple:
+            return len(keys), keys[0].as_py(), keys[-1].as_py(), *blocks.pack(keys, counts)
+
         for batch in batches:
             langs = batch.column(0).cast(pa.large_binary())
             raw, offsets = text_buffers(batch.column(1))
@@ -196,7 +203,9 @@ def runs(docs: DataFrame, text: str, lang: str, how: Collocations) -> DataFrame:
                 borders = np.minimum(offsets[first + 1 : last + 1], stop) - start
                 for keys, counts in _ngrams(raw[start:stop], borders, langs[first:last], how.longest):
                     places = range(0, len(keys), how.block)
-                    yield _batch_of([_block(keys[p : p + how.block], counts[p : p + how.block]) for p in places], _RUN)
+                    yield _batch_of([block(keys[p : p + how.block], counts[p : p + how.block]) for p in places], _RUN)
+                    del keys, counts
+                pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(split, RUN)
 
@@ -217,22 +226,25 @@ def _splitters(blocks: DataFrame, how: Collocations) -> list[bytes]:
 
 
 def _cut(blocks: DataFrame, splitters: list[bytes]) -> DataFrame:
-    """Blocks as ``range`` and contents, those across a splitter cut there."""
+    """Blocks cut at the splitters; what falls into one range of the blocks at hand goes as one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
+        packer = _Blocks()
+        # few blocks at a time: a batch may hold all of a file
+        for part in (batch.slice(i, _AT_ONCE) for batch in batches for i in range(0, batch.num_rows, _AT_ONCE)):
+            pieces: dict[int, list] = {}
+            for row in part.to_pylist():
                 low, high = (bisect.bisect_right(splitters, row[c]) for c in ("first", "last"))
-                if low == high:
-                    out.append((low, row["lengths"], row["keys"], row["counts"]))
-                    continue
-                keys, counts = _unblock(row["lengths"], row["keys"], row["counts"])
-                listed = keys.to_pylist()
-                places = [0, *(bisect.bisect_left(listed, s) for s in splitters[low:high]), len(listed)]
+                keys, counts = packer.unpack(row["lengths"], row["keys"], row["counts"])
+                inner = [bisect.bisect_left(range(len(keys)), s, key=lambda i: keys[i].as_py()) for s in splitters[low:high]]
+                places = [0, *inner, len(keys)]
                 for i, (a, b) in enumerate(zip(places, places[1:])):
                     if a < b:
-                        out.append((low + i, *_block(keys[a:b], counts[a:b])[3:]))
+                        pieces.setdefault(low + i, []).append((keys[a:b], counts[a:b]))
+            out = []
+            for number, found in pieces.items():
+                packed = packer.pack(pa.concat_arrays([k for k, _ in found]), np.concatenate([c for _, c in found]))
+                out.append((number, *packed))
             if out:
                 yield _batch_of(out, _CUT)
 
@@ -241,7 +253,8 @@ def _cut(blocks: DataFrame, splitters: list[bytes]) -> DataFrame:
 
 def merged(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
     """One sorted stream of distinct keys from blocks, counts added."""
-    streams = [_unblock(*(table.column(c)[i].as_py() for c in ("lengths", "keys", "counts"))) for i in range(table.num_rows)]
+    unpack = _Blocks().unpack
+    streams = [unpack(*(table.column(c)[i].as_py() for c in ("lengths", "keys", "counts"))) for i in range(table.num_rows)]
     keys = pa.concat_arrays([k for k, _ in streams])
     counts = np.concatenate([c for _, c in streams])
     del streams
