@@ -156,7 +156,7 @@ def placed(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: Sequ
     )
 
     def at(start: Column, size: Column) -> Column:
-        middle = 2 * start + size
+        middle = 2 * start.cast("long") + size
         return F.call_function("div", middle * how.shards, F.lit(2 * total).cast("long")).cast("int")
 
     ordered = stage(ordered.withColumn("shard", at(F.col("start"), F.col("size"))).drop("range", "rows_before", "size_before"), "ordered")
