@@ -159,7 +159,7 @@ class _Blocks:
     """Packs and unpacks blocks; one per task, as compressors are costly to make."""
 
     def __init__(self) -> None:
-        self.zip = zstandard.ZstdCompressor(level=3).compress
+        self.zip = zstandard.ZstdCompressor(level=5).compress
         self.unzip = zstandard.ZstdDecompressor().decompress
 
     def pack(self, keys: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
@@ -247,6 +247,8 @@ def _cut(blocks: DataFrame, splitters: list[bytes]) -> DataFrame:
                 out.append((number, *packed))
             if out:
                 yield _batch_of(out, _CUT)
+            del pieces, out
+            pa.default_memory_pool().release_unused()
 
     return blocks.select("first", "last", "lengths", "keys", "counts").mapInArrow(cut, "range int, lengths binary, keys binary, counts binary")
 
@@ -284,6 +286,8 @@ def counted(blocks: DataFrame, how: Collocations) -> DataFrame:
         for key, f in zip(keys.filter(pa.array(often)).to_pylist(), counts[often].tolist()):
             name, *words = key.split(_JOIN)
             out.append((name, [w.translate(_UNFOLD).decode() for w in words], f))
+        del keys, counts
+        pa.default_memory_pool().release_unused()
         columns = list(zip(*out)) or [(), (), ()]
         langs = pa.array([bytes.fromhex(x.decode()).decode() for x in columns[0]], pa.string())
         return pa.table({"lang": langs, "words": pa.array(columns[1], pa.list_(pa.string())), "f": pa.array(columns[2], pa.int64())})
