@@ -23,6 +23,10 @@ class TickConfig:
     starting_offsets: str = "earliest"
     # None takes everything that is there; a number caps offsets (or files) per micro-batch.
     max_per_batch: int | None = None
+    # Loads of a layer table that the layer behind takes in one micro-batch; None takes all.
+    max_loads_per_batch: int | None = 100
+    # A compacted load of one day that is smaller takes part in the next compaction of that day.
+    small_load_bytes: int = 128 << 20
 
     processing_time: str = "0 seconds"
     bronze_watermark: str = "1 minute"

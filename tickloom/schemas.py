@@ -73,3 +73,11 @@ PARTITION_COLUMNS = {
     "predictions": ["model_id"],
     "rejects": [],
 }
+#: event time of each table, by which loads know their range
+TIME_COLUMNS = {
+    "bronze": "timestamp",
+    "silver": "timestamp",
+    "gold": "window_start",
+    "predictions": "window_start",
+    "rejects": "ingestion_timestamp",
+}

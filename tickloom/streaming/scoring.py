@@ -42,19 +42,20 @@ class StreamScorer:
             self._process(batch, batch_id)
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
+        if self.tables.holds_batch("predictions", self.checkpoint, batch_id):
+            return
         rows = self._latest_features(batch)
         if rows is None:
             return
-        load = self.tables.stream_load(self.checkpoint, batch_id)
-        fresh = unscored(self.tables, rows, self.model_id, load)
+        fresh = unscored(self.tables, rows, self.model_id)
         scored = score(self.model, fresh, self.tables.cfg)
         stamped = _stamped(scored, self.model_id, batch_id)
-        self.tables.replace_batch("predictions", stamped, load)
+        self.tables.put_batch("predictions", stamped, self.checkpoint, batch_id)
 
     def _latest_features(self, batch: DataFrame) -> DataFrame | None:
         """The newest feature row of the batch's symbols, from the stored candles.
 
-        Candles older than the look-back are skipped by their file statistics. That changes nothing
+        Loads of candles older than the look-back are not opened. That changes nothing
         for a symbol with a feature row inside it; the others are computed from all their candles,
         where the join on the partition column prunes the folders of other symbols.
         """
@@ -66,7 +67,7 @@ class StreamScorer:
             return None
         since = oldest - timedelta(seconds=cfg.score_lookback_seconds)
         candles = self.tables.read("gold")
-        recent = candles.where(F.col("window_start") >= since).join(touched, "symbol", "left_semi")
+        recent = self.tables.read("gold", since).join(touched, "symbol", "left_semi")
         found = stage(latest_features(recent, cfg), "recent")
         missing = stage(touched.join(found, "symbol", "left_anti"), "missing")
         if missing.isEmpty():
@@ -75,15 +76,14 @@ class StreamScorer:
         return found.unionByName(rest)
 
 
-def unscored(tables: Tables, rows: DataFrame, model_id: str, own_load: str | None = None) -> DataFrame:
+def unscored(tables: Tables, rows: DataFrame, model_id: str) -> DataFrame:
     """Feature rows that have no prediction of the model yet, neither from a stream nor from a single
-    run. Predictions of the load that is being written again do not count. Stored predictions of earlier
-    windows than the rows' are skipped by file statistics."""
+    run. Loads of stored predictions of earlier windows than the rows' are not opened."""
     rows = stage(rows, "to-score")
     since = rows.agg(F.min("window_start")).first()[0]
     if since is None:
         return rows
-    known = tables.read("predictions", own_load).where((F.col("model_id") == model_id) & (F.col("window_start") >= since))
+    known = tables.read("predictions", since).where(F.col("model_id") == model_id)
     return rows.join(known.select("symbol", "window_start"), ["symbol", "window_start"], "left_anti")
 
 
