@@ -4,6 +4,7 @@
     train     fit the forest on the stored candles, report the hold-out accuracy, save the model
     score     score new candles as they arrive (or the newest ones, once)
     sql       run a statement over the stored tables
+    compact   gather the loads of the tables into files by day, and delete what was replaced long ago
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tickloom.config import TickConfig
 from tickloom.plans.model import load_model, train_and_evaluate
 from tickloom.plans.serving import volatility_overview
 from tickloom.plans.sql import SqlResult, run_sql
+from tickloom.schemas import TABLES
 from tickloom.session import build_session
 from tickloom.sources.tables import Tables
 from tickloom.streaming.pipeline import LayeredPipeline
@@ -53,6 +55,10 @@ def parser() -> argparse.ArgumentParser:
     sql = jobs.add_parser("sql", parents=[shared])
     sql.add_argument("statement", nargs="?", help="without one, the volatility overview of the candles")
     sql.add_argument("--out", help="write the result here as Parquet instead of printing it")
+
+    compact = jobs.add_parser("compact", parents=[shared])
+    compact.add_argument("--table", action="append", help="one or more tables; without any, all that are there")
+    compact.add_argument("--keep-hours", type=float, default=168, help="how long replaced files stay for readers and streams")
     return top
 
 
@@ -60,7 +66,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
     given = parser().parse_args(arguments)
     spark = build_session(f"tickloom-{given.job}")
     base = TickConfig(base_path=given.base, table_format=given.format)
-    return {"pipeline": _pipeline, "train": _train, "score": _score, "sql": _sql}[given.job](spark, given, base)
+    return {"pipeline": _pipeline, "train": _train, "score": _score, "sql": _sql, "compact": _compact}[given.job](spark, given, base)
 
 
 def _pipeline(spark, given, base: TickConfig) -> int:
@@ -81,6 +87,14 @@ def _pipeline(spark, given, base: TickConfig) -> int:
     return 0
 
 
+def _compact(spark, given, base: TickConfig) -> int:
+    tables = Tables(spark, base)
+    for name in given.table or [n for n in TABLES if tables.exists(n)]:
+        replaced, deleted = tables.compact(name), tables.vacuum(name, given.keep_hours)
+        print(f"{name}: {replaced} loads gathered, {len(deleted)} folders deleted")
+    return 0
+
+
 def _train(spark, given, base: TickConfig) -> int:
     cfg = TickConfig(
         base_path=base.base_path, table_format=base.table_format, num_trees=given.trees, seed=given.seed

@@ -139,6 +139,14 @@ SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM si
     "gold_candles_hour": GOLD_HOUR,
     "layer_tables": GOLD_HOUR,
     "mixed_writes": GOLD_HOUR,
+    "stream_crash": GOLD_HOUR,
+    "stream_backlog": GOLD_HOUR,
+    "compacted_candles": f"{GOLD_HOUR} WHERE window_start >= TIMESTAMP '2024-01-08' AND window_start < TIMESTAMP '2024-01-15'",
+    "table_columns": f"""WITH {HOUR}, n AS (SELECT count(*) AS filled FROM gold)
+SELECT col_name, data_type, filled FROM n, (VALUES
+  ('window_start', 'timestamp'), ('window_end', 'timestamp'), ('symbol', 'string'), ('avg_price', 'double'), ('min_price', 'double'),
+  ('max_price', 'double'), ('volatility', 'double'), ('total_volume', 'bigint'), ('trade_count', 'bigint'),
+  ('avg_price_change_pct', 'double'), ('gold_computed_at', 'timestamp')) AS c (col_name, data_type)""",
     "silver_text_times": f"""WITH {SILVER}
 SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM silver""",
     "sql_over_views": f"""WITH {HOUR}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,12 @@ from tickloom.config import TickConfig
 from tickloom.functions import signal_band, signal_or_fallback, strong_prediction
 from tickloom.operators import dedup, ranking
 from tickloom.plans import features, layers, model, serving, sql
+from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, stage
 from tickloom.sources import feature_files, messages, payloads
 from tickloom.sources.tables import Tables
 from tickloom.sources.ticks import ticks_from_events
-from tickloom.streaming.pipeline import LayeredPipeline
+from tickloom.streaming.pipeline import LAYERS, LayeredPipeline
 from tickloom.streaming.repeats import RepeatFilter
 from tickloom.streaming.scoring import StreamScorer, append_latest
 
@@ -494,20 +496,98 @@ def _stream_config(spark: SparkSession) -> TickConfig:
     )
 
 
-def _publish(spark: SparkSession, ticks: DataFrame, cfg: TickConfig) -> None:
-    """Send ticks, and one far in the future that closes all windows."""
-    last = spark.range(1).select(
+def _closing_tick(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(
         F.lit("sentinel").alias("symbol"),
         *(F.lit(1.0).alias(c) for c in ("price", "open", "high", "low")),
         F.lit(1).cast("bigint").alias("volume"),
         F.lit("2100-01-01").cast("timestamp").alias("timestamp"),
         F.lit("2100-01-01").cast("timestamp").alias("ingestion_timestamp"),
     )
-    rows = ticks.drop("event_id").unionByName(last)
+
+
+def _publish(spark: SparkSession, ticks: DataFrame, cfg: TickConfig) -> None:
+    """Send ticks, and one far in the future that closes all windows."""
+    rows = ticks.drop("event_id").unionByName(_closing_tick(spark))
     sent = messages.as_messages(rows, broker_time="ingestion_timestamp")
     messages.publish(sent, cfg.source_format, cfg.source_options)
 
 
+@query
+def stream_crash(spark, folder):
+    """The streaming layers after a crash in each: the last batch with rows was written, but its checkpoint not told. The
+    batches are tried again and count once."""
+    cfg = _stream_config(spark)
+    ticks = stage(_bronze(spark, folder), "bronze")
+    _publish(spark, ticks, cfg)
+    LayeredPipeline(spark, cfg).run_available()
+    for layer in LAYERS:
+        _take_back(Tables(spark, cfg), layer)
+    pipeline = LayeredPipeline(spark, cfg)
+    pipeline.run_available()
+    return pipeline.tables.read("gold").drop("gold_computed_at")
+
+
+def _take_back(tables: Tables, layer: str) -> None:
+    """Remove from a checkpoint what is written after the first batch."""
+    place = tables.cfg.checkpoint(layer)
+    for kind, first in (("commits", 0), ("offsets", 1)):
+        for name, _ in tables.files.folder(f"{place}/{kind}"):
+            number = name.strip(".").removesuffix(".crc")
+            if number.isdigit() and int(number) >= first:
+                tables.files.delete(f"{place}/{kind}/{name}")
+
+
+@query
+def stream_backlog(spark, folder):
+    """A backlog of many loads, worked off by the layers a few whole loads at a time."""
+    cfg = replace(_stream_config(spark), max_loads_per_batch=3)
+    tables = Tables(spark, cfg)
+    ticks = stage(_bronze(spark, folder).drop("event_id"), "bronze")
+    first, last = ticks.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (last - first) / 9
+    for k in range(9):
+        later = F.col("timestamp") >= F.lit(first + step * k)
+        tables.append("bronze", ticks.where(later if k == 8 else later & (F.col("timestamp") < F.lit(first + step * (k + 1)))))
+    tables.append("bronze", _closing_tick(spark))
+    pipeline = LayeredPipeline(spark, cfg)
+    for layer in ("silver", "gold"):
+        pipeline.run_layer(layer, available_now=True).awaitTermination()
+    return pipeline.tables.read("gold").drop("gold_computed_at")
+
+
+@query
+def compacted_candles(spark, folder):
+    """Candles of one week from a table of many loads, rewritten by day while it is read."""
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"))
+    tables = Tables(spark, cfg)
+    candles = stage(_gold(spark, folder).withColumn("gold_computed_at", F.current_timestamp()), "candles")
+    for k in range(4):
+        tables.append("gold", candles.where(F.pmod(F.hour("window_start"), F.lit(4)) == k))
+    tables.compact("gold")
+    tables.append("gold", candles.where(F.lit(False)))
+    tables.vacuum("gold", keep_hours=0)
+    week = (datetime(2024, 1, d, tzinfo=timezone.utc) for d in (8, 15))
+    return Tables(spark, cfg).read("gold", *week).drop("gold_computed_at")
+
+
+@query
+def table_columns(spark, folder):
+    """Names and types of the columns of a stored table, beside the number of rows that fill them."""
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"))
+    tables = Tables(spark, cfg)
+    tables.append("gold", layers.gold(_silver(spark, folder), cfg))
+    views = tables.create_views()
+    try:
+        described = stage(tables.describe("gold"), "described")
+        counts = tables.read("gold").agg(*(F.count(c).alias(c) for c in TABLES["gold"].names))
+        filled = counts.unpivot([], list(counts.columns), "col_name", "filled")
+        return described.join(filled, "col_name")
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)
+
+
 @query
 def stream_repeats(spark, folder):
     """Repeat suppression over a stream of quotes, with the state table."""
