@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -96,7 +97,9 @@ def test_restart_goes_on_where_it_stopped(spark, topic, cfg):
     assert [(r["symbol"], r["trade_count"]) for r in pipeline.tables.read("gold").collect()] == [("A", 2)]
 
 
-def test_late_rows_are_dropped(spark, topic, cfg):
+@pytest.mark.parametrize("ordered", [False, True])
+def test_late_rows_are_dropped(spark, topic, cfg, ordered):
+    cfg = replace(cfg, ordered_arrivals=ordered)
     for second in (100, 500, 600):
         topic.send(message("A", second))
     topic.send(message("A", 101), message("A", 700))
@@ -106,13 +109,15 @@ def test_late_rows_are_dropped(spark, topic, cfg):
     query.awaitTermination()
     seconds = [s for _, s, _ in prices(pipeline, "bronze")]
     assert seconds == [100, 500, 600, 700, FAR - EPOCH]
-    dropped = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
-    assert dropped == 1
+    if ordered:
+        assert [s for _, s, _ in prices(pipeline, "late")] == [101]
+        assert pipeline.tables.read("duplicates").count() == 0
+    else:
+        dropped = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+        assert dropped == 1
 
 
 def test_undecodable_can_be_kept(spark, topic, cfg):
-    from dataclasses import replace
-
     cfg = replace(cfg, keep_undecodable=True)
     topic.send("not json", message("A", 0))
     pipeline = LayeredPipeline(spark, cfg)

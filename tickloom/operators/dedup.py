@@ -22,11 +22,12 @@ def first_arrivals(
 
     A stream keeps the keys in state until the watermark passes them and drops later rows.
     A batch ranks by ``arrival``; the limit on the rank runs before the shuffle, so a hot key
-    sends at most one row per task. Columns of ``arrival`` should decide ties.
+    sends at most one row per task. All other columns decide ties.
     """
     if df.isStreaming:
         return df.withWatermark("timestamp", watermark).dropDuplicates(list(keys))
-    by_arrival = Window.partitionBy(*keys).orderBy(*arrival)
+    ties = [c for c in df.columns if c not in arrival and c not in keys]
+    by_arrival = Window.partitionBy(*keys).orderBy(*arrival, *ties)
     return (
         df.withColumn("_arrived", F.row_number().over(by_arrival))
         .where(F.col("_arrived") == 1)

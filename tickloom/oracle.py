@@ -141,6 +141,22 @@ SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM si
     "mixed_writes": GOLD_HOUR,
     "stream_crash": GOLD_HOUR,
     "stream_backlog": GOLD_HOUR,
+    "stream_ordered": f"""WITH {TICKS}
+SELECT * EXCLUDE (event_id) FROM ticks QUALIFY row_number() OVER (
+  PARTITION BY symbol, "timestamp" ORDER BY ingestion_timestamp, price, open, high, low, volume) = 1""",
+    "stream_balance": f"""WITH {TICKS},
+later AS (SELECT * FROM ticks WHERE "timestamp" >= TIMESTAMP '2024-01-15'),
+kept AS (
+  SELECT coalesce(volume = 0 OR price <= 0 OR open <= 0 OR high < low, false) AS is_anomaly FROM later
+  QUALIFY row_number() OVER (
+    PARTITION BY symbol, "timestamp" ORDER BY ingestion_timestamp, price, open, high, low, volume) = 1)
+SELECT 'candles' AS outcome, count(*) FILTER (NOT is_anomaly) AS messages FROM kept
+UNION ALL SELECT 'anomalies', count(*) FILTER (is_anomaly) FROM kept
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM later) - (SELECT count(*) FROM kept)
+UNION ALL SELECT 'late', count(*) FROM ticks WHERE "timestamp" < TIMESTAMP '2024-01-15'
+UNION ALL SELECT 'rejects', count(*) FROM later WHERE event_id % 10 = 0
+UNION ALL SELECT 'late for candles', 0
+UNION ALL SELECT 'open windows', 1""",
     "compacted_candles": f"{GOLD_HOUR} WHERE window_start >= TIMESTAMP '2024-01-08' AND window_start < TIMESTAMP '2024-01-15'",
     "table_columns": f"""WITH {HOUR}, n AS (SELECT count(*) AS filled FROM gold)
 SELECT col_name, data_type, filled FROM n, (VALUES

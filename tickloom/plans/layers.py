@@ -16,8 +16,9 @@ from tickloom.functions import (
     spread,
     to_event_time,
 )
+from tickloom.operators.arrivals import judged
 from tickloom.operators.candles import candles
-from tickloom.operators.dedup import first_arrivals
+from tickloom.operators.dedup import TICK_KEY, first_arrivals
 from tickloom.schemas import TICK
 
 ARRIVAL = ("ingestion_timestamp",)
@@ -58,6 +59,12 @@ def bronze(
     return first_arrivals(ticks, cfg.bronze_watermark, arrival=arrival)
 
 
+def bronze_outcomes(ticks: DataFrame, cfg: TickConfig = TickConfig(), arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """All ticks of a stream with their ``outcome``: kept as ``bronze`` would, late, or a duplicate."""
+    stamped = ticks.withColumn("bronze_inserted_at", F.current_timestamp())
+    return judged(stamped, cfg.bronze_watermark, TICK_KEY, arrival)
+
+
 def enrich(ticks: DataFrame) -> DataFrame:
     """Typed event time, spread, price change (absolute and percent) and the anomaly flag."""
     event_type = dict(ticks.dtypes)["timestamp"]

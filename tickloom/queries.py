@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.config import TickConfig
 from tickloom.functions import signal_band, signal_or_fallback, strong_prediction
 from tickloom.operators import dedup, ranking
-from tickloom.plans import features, layers, model, serving, sql
+from tickloom.plans import audit, features, layers, model, serving, sql
 from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, stage
 from tickloom.sources import feature_files, messages, payloads
@@ -556,6 +556,35 @@ def stream_backlog(spark, folder):
     return pipeline.tables.read("gold").drop("gold_computed_at")
 
 
+@query
+def stream_ordered(spark, folder):
+    """Conflicting redeliveries in one batch of the stream: of each key the first to arrive, as in a batch."""
+    cfg = replace(_stream_config(spark), ordered_arrivals=True)
+    _publish(spark, ticks_from_events(spark, folder, cfg), cfg)
+    pipeline = LayeredPipeline(spark, cfg)
+    pipeline.run_layer("bronze", available_now=True).awaitTermination()
+    return pipeline.tables.read("bronze").where("symbol <> 'sentinel'").drop("bronze_inserted_at")
+
+
+@query
+def stream_balance(spark, folder):
+    """What became of every message: the later half of the time comes first, so the earlier half is late."""
+    cfg = replace(_stream_config(spark), ordered_arrivals=True)
+    ticks = stage(ticks_from_events(spark, folder, cfg), "ticks")
+    later = F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp")
+    damaged = ticks.where(later & (F.col("event_id") % 10 == 0)).select(
+        F.concat(F.lit("~"), F.col("event_id").cast("string")).alias("value"), F.col("ingestion_timestamp").alias("timestamp")
+    )
+    messages.publish(damaged, cfg.source_format, cfg.source_options)
+    for part in (ticks.where(later), ticks.where(~later)):
+        sent = messages.as_messages(part.drop("event_id"), broker_time="ingestion_timestamp")
+        messages.publish(sent, cfg.source_format, cfg.source_options)
+        LayeredPipeline(spark, cfg).run_available()
+    _publish(spark, ticks.limit(0), cfg)
+    LayeredPipeline(spark, cfg).run_available()
+    return audit.balance(Tables(spark, cfg))
+
+
 @query
 def compacted_candles(spark, folder):
     """Candles of one week from a table of many loads, rewritten by day while it is read."""

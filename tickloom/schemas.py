@@ -59,12 +59,17 @@ PREDICTIONS = _table(
 )
 REJECTS = _table(value=TEXT, ingestion_timestamp=TIME, reason=TEXT)
 
+# rows that bronze does not take: behind its watermark, or not the first of their key
+LATE = DUPLICATES = BRONZE
+
 TABLES = {
     "bronze": BRONZE,
     "silver": SILVER,
     "gold": GOLD,
     "predictions": PREDICTIONS,
     "rejects": REJECTS,
+    "late": LATE,
+    "duplicates": DUPLICATES,
 }
 PARTITION_COLUMNS = {
     "bronze": ["symbol"],
@@ -72,6 +77,8 @@ PARTITION_COLUMNS = {
     "gold": ["symbol"],
     "predictions": ["model_id"],
     "rejects": [],
+    "late": ["symbol"],
+    "duplicates": ["symbol"],
 }
 #: event time of each table, by which loads know their range
 TIME_COLUMNS = {
@@ -80,4 +87,6 @@ TIME_COLUMNS = {
     "gold": "window_start",
     "predictions": "window_start",
     "rejects": "ingestion_timestamp",
+    "late": "timestamp",
+    "duplicates": "timestamp",
 }

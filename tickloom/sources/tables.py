@@ -14,7 +14,7 @@ import uuid
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -176,8 +176,11 @@ class Tables:
         paths = added.select("path", F.explode("files").alias("file")).select(F.concat_ws("/", "path", "file").alias("path"))
         return paths.repartition("path").mapInArrow(rows_of(ledger.table, TABLES[name]), TABLES[name])
 
-    def start_stream(self, name: str, df: DataFrame, available_now: bool = False) -> StreamingQuery:
-        """Append a stream to the table under its own checkpoint and query name."""
+    def start_stream(
+        self, name: str, df: DataFrame, available_now: bool = False, aside: dict[str, Column] | None = None
+    ) -> StreamingQuery:
+        """Append a stream to the table under its own checkpoint and query name. Rows that meet a condition of ``aside``
+        go to the table of that name instead, from the same run."""
         # state of deduplication and windows belongs on disk, whatever session starts the stream
         self.spark.conf.set(STATE_STORE, ROCKS_DB)
         writer = (
@@ -191,7 +194,19 @@ class Tables:
             self._queries.pop(name, None)
 
             def put(batch: DataFrame, batch_id: int) -> None:
-                self._write_load(name, batch, self.stream_load(name, batch_id))
+                load = self.stream_load(name, batch_id)
+                if not aside:
+                    self._write_load(name, batch, load)
+                    return
+                rows = batch.persist()
+                try:
+                    rest = rows
+                    for other, condition in aside.items():
+                        self._write_load(other, rows.where(condition).select(*TABLES[other].names), load)
+                        rest = rest.where(~condition)
+                    self._write_load(name, rest.select(*TABLES[name].names), load)
+                finally:
+                    rows.unpersist()
 
             writer = writer.foreachBatch(put)
         if available_now:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import TickConfig
+from tickloom.operators.arrivals import DUPLICATE, LATE, OUTCOME
 from tickloom.plans import layers
 from tickloom.sources.messages import message_stream
 from tickloom.sources.tables import Tables
@@ -25,20 +27,28 @@ class LayeredPipeline:
         """Read and transform of one layer."""
         if layer == "bronze":
             ticks = layers.usable_ticks(layers.decode(message_stream(self.spark, self.cfg)), self.cfg)
-            return layers.bronze(ticks, self.cfg)
+            return layers.bronze_outcomes(ticks, self.cfg) if self.aside(layer) else layers.bronze(ticks, self.cfg)
         if layer == REJECTS:
             return layers.rejected_messages(layers.decode(message_stream(self.spark, self.cfg)))
         if layer == "silver":
             return layers.silver(self.tables.read_stream("bronze"), self.cfg)
         return layers.gold(self.tables.read_stream("silver"), self.cfg)
 
+    def aside(self, layer: str) -> dict[str, Column]:
+        """Tables for rows that a layer does not take."""
+        if layer != "bronze" or not self.cfg.ordered_arrivals or self.cfg.table_format == "delta":
+            return {}
+        return {"late": F.col(OUTCOME) == LATE, "duplicates": F.col(OUTCOME) == DUPLICATE}
+
     @property
     def layer_names(self) -> tuple[str, ...]:
         return LAYERS if self.cfg.keep_undecodable else (*LAYERS, REJECTS)
 
     def run_layer(self, layer: str, available_now: bool = False) -> StreamingQuery:
-        self.tables.bootstrap(layer)
-        query = self.tables.start_stream(layer, self.frame(layer), available_now)
+        aside = self.aside(layer)
+        for name in (layer, *aside):
+            self.tables.bootstrap(name)
+        query = self.tables.start_stream(layer, self.frame(layer), available_now, aside)
         self.queries[layer] = query
         return query
 
