@@ -140,6 +140,8 @@ SELECT * REPLACE ({half_up("price_change_pct", 10)} AS price_change_pct) FROM si
     "layer_tables": GOLD_HOUR,
     "mixed_writes": GOLD_HOUR,
     "stream_crash": GOLD_HOUR,
+    "candles_from_states": GOLD_HOUR,
+    "sliding_candles_from_states": f"WITH {SLIDING} SELECT * FROM gold",
     "stream_backlog": GOLD_HOUR,
     "stream_ordered": f"""WITH {TICKS}
 SELECT * EXCLUDE (event_id) FROM ticks QUALIFY row_number() OVER (

@@ -17,6 +17,7 @@ from tickloom.functions import (
     to_event_time,
 )
 from tickloom.operators.arrivals import judged
+from tickloom.operators.candle_states import states
 from tickloom.operators.candles import candles
 from tickloom.operators.dedup import TICK_KEY, first_arrivals
 from tickloom.schemas import TICK
@@ -89,6 +90,14 @@ def silver(
     return first_arrivals(enriched, cfg.silver_watermark, arrival=arrival)
 
 
+def gold_states(ticks: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
+    """The parts of candles over the ticks that are not anomalous, per ``cfg.window``; ``candles_of`` merges them."""
+    normal = ticks.where(~F.col("is_anomaly"))
+    if normal.isStreaming:
+        normal = normal.withWatermark("timestamp", cfg.gold_watermark)
+    return states(normal, cfg.window)
+
+
 def gold(ticks: DataFrame, cfg: TickConfig = TickConfig(), stamp: bool = True) -> DataFrame:
     """Candles over the ticks that are not anomalous."""
     normal = ticks.where(~F.col("is_anomaly"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.config import TickConfig
 from tickloom.functions import signal_band, signal_or_fallback, strong_prediction
 from tickloom.operators import dedup, ranking
+from tickloom.operators.candle_states import candles_of
 from tickloom.plans import audit, features, layers, model, serving, sql
 from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, stage
@@ -135,6 +136,23 @@ def gold_candles_sliding(spark, folder):
     return _gold(spark, folder, replace(CFG, slide="30 minutes"))
 
 
+@query
+def candles_from_states(spark, folder):
+    """Hours from stored parts of ten seconds; the ticks are read for the parts only."""
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"), window="10 seconds")
+    tables = Tables(spark, cfg)
+    tables.append("states", layers.gold_states(_silver(spark, folder), cfg))
+    return candles_of(tables.read("states"), "1 hour")
+
+
+@query
+def sliding_candles_from_states(spark, folder):
+    cfg = replace(CFG, base_path=fresh_path(spark, "lake"), window="10 seconds")
+    tables = Tables(spark, cfg)
+    tables.append("states", layers.gold_states(_silver(spark, folder), cfg))
+    return candles_of(tables.read("states"), "1 hour", "30 minutes")
+
+
 @query
 def layer_tables(spark, folder):
     """Batch run through the stored tables: bootstrap, append, read back by declared schema."""

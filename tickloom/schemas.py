@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DataType,
+    DecimalType,
     DoubleType,
     LongType,
     StringType,
@@ -47,6 +48,26 @@ GOLD = _table(
     avg_price_change_pct=NUMBER,
     gold_computed_at=TIME,
 )
+WIDE = DecimalType(38, 0)
+STATES = _table(
+    window_start=TIME,
+    window_end=TIME,
+    symbol=TEXT,
+    ticks=WHOLE,
+    prices=WHOLE,
+    exact_prices=WHOLE,
+    price_sum=WIDE,
+    square_sum=WIDE,
+    price_mean=NUMBER,
+    price_moment=NUMBER,
+    min_price=NUMBER,
+    max_price=NUMBER,
+    total_volume=WHOLE,
+    percents=WHOLE,
+    exact_percents=WHOLE,
+    percent_sum=WIDE,
+    percent_mean=NUMBER,
+)
 PREDICTIONS = _table(
     symbol=TEXT,
     window_start=TIME,
@@ -66,6 +87,7 @@ TABLES = {
     "bronze": BRONZE,
     "silver": SILVER,
     "gold": GOLD,
+    "states": STATES,
     "predictions": PREDICTIONS,
     "rejects": REJECTS,
     "late": LATE,
@@ -75,6 +97,7 @@ PARTITION_COLUMNS = {
     "bronze": ["symbol"],
     "silver": ["symbol"],
     "gold": ["symbol"],
+    "states": ["symbol"],
     "predictions": ["model_id"],
     "rejects": [],
     "late": ["symbol"],
@@ -85,6 +108,7 @@ TIME_COLUMNS = {
     "bronze": "timestamp",
     "silver": "timestamp",
     "gold": "window_start",
+    "states": "window_start",
     "predictions": "window_start",
     "rejects": "ingestion_timestamp",
     "late": "timestamp",

@@ -14,6 +14,8 @@ from tickloom.sources.tables import Tables
 
 LAYERS = ("bronze", "silver", "gold")
 REJECTS = "rejects"
+#: runs only where it is asked for
+STATES = "states"
 
 
 class LayeredPipeline:
@@ -32,6 +34,8 @@ class LayeredPipeline:
             return layers.rejected_messages(layers.decode(message_stream(self.spark, self.cfg)))
         if layer == "silver":
             return layers.silver(self.tables.read_stream("bronze"), self.cfg)
+        if layer == STATES:
+            return layers.gold_states(self.tables.read_stream("silver"), self.cfg)
         return layers.gold(self.tables.read_stream("silver"), self.cfg)
 
     def aside(self, layer: str) -> dict[str, Column]:
