@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.config import TickConfig
-from tickloom.plans import model
+from tickloom.plans import features, forest, model
 from tickloom.schemas import GOLD
 from tickloom.sources.tables import Tables
 from tickloom.streaming.scoring import StreamScorer, append_latest
@@ -58,6 +58,19 @@ def test_saved_model_scores_the_same(spark, trained):
     assert {r["window_end"] - r["window_start"] for r in scored} == {timedelta(minutes=1)}
 
 
+def test_joins_with_the_nodes_score_the_same(spark, trained):
+    fitted, _, path = trained
+    rows = features.features(alternating(spark, n=60), CFG)
+    joined = forest.probabilities(rows, forest.nodes(spark, path), forest.depth(fitted)).collect()
+    scored = {(r.symbol, r.window_start): r.probability for r in model.score(fitted, rows, CFG).collect()}
+    assert len(joined) == len(scored) > 100 and len({round(p, 6) for p in scored.values()}) > 1
+    assert all(abs(scored[r.symbol, r.window_start] - r.probability) < 1e-12 for r in joined)
+    # a forest with a node bent is found out
+    bent = forest.nodes(spark, path).withColumn("stats", F.when(F.col("tree") == 0, F.reverse("stats")).otherwise(F.col("stats")))
+    wrong = forest.probabilities(rows, bent, forest.depth(fitted)).collect()
+    assert any(abs(scored[r.symbol, r.window_start] - r.probability) > 1e-3 for r in wrong)
+
+
 def test_accuracy_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "prediction double, label double")
     assert model.accuracy(empty).first()[0] is None

@@ -9,7 +9,7 @@ from tickloom.config import TickConfig
 from tickloom.plans import serving
 from tickloom.plans.sql import run_sql
 from tickloom.schemas import GOLD, TABLES
-from tickloom.sources.feature_files import read_feature_files
+from tickloom.sources.feature_files import read_feature_files, unreadable_files
 from tickloom.sources.payloads import ticks_from_quotes, ticks_from_series
 from tickloom.sources.tables import Tables
 
@@ -74,6 +74,12 @@ def test_feature_files(spark, tmp_path):
     assert df.dtypes == [("features", "array<float>"), ("target", "float")]
     got = sorted((len(r["features"]), round(r["features"][0], 3), r["target"]) for r in df.collect())
     assert got == [(1, 0.1, 1.0), (1, 3.0, 0.0), (2, 1.5, 1.0)]
+    spark.createDataFrame([([0.1],)], "features array<float>").coalesce(1).write.parquet(str(tmp_path / "c d"))
+    (tmp_path / "none.parquet").write_bytes(b"")
+    told = {r.file.split(tmp_path.name)[1].split("/")[1]: r.reason for r in unreadable_files(spark, str(tmp_path)).collect()}
+    assert set(told) == {"b", "c d", "cut.parquet", "none.parquet"}
+    assert told["b"] == "no column features and no column target" and told["c d"] == "no column target"
+    assert told["cut.parquet"].startswith("not readable") and told["none.parquet"].startswith("not readable")
 
 
 def candle(symbol, price, minute=0):

