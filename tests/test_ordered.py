@@ -81,3 +81,15 @@ def test_lead_and_share_is_lead_filter_rank(spark, last_complete):
     kept = df.withColumn("after", F.lead("v").over(w)).where("ok AND after IS NOT NULL")
     want = kept.withColumn("share", F.percent_rank().over(w))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("length", [1, 2, 5, 40])
+@pytest.mark.parametrize("seconds, max_rows", [(60, 10**6), (86400, 100), (10**9, 30)])
+def test_rolling_values_match_a_plain_frame(rows, length, seconds, max_rows):
+    cut = Slices.of_rows(rows, ["symbol"], ["at", "id"], seconds, carry=["v"], max_rows=max_rows)
+    got = cut.rolling("v", length, "values").frame()
+    assert got.columns == ["id", "symbol", "at", "v", "values"]
+    frame = Window.partitionBy("symbol").orderBy("at", "id").rowsBetween(1 - length, 0)
+    # a plain frame leaves nulls out
+    want = rows.select("id", F.transform(F.collect_list(F.struct("v")).over(frame), lambda s: s["v"]).alias("values"))
+    assert sorted(map(str, got.select("id", "values").collect())) == sorted(map(str, want.collect()))

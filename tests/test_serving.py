@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import risk_band, signal_band, signal_or_fallback, strong_prediction
@@ -139,3 +140,16 @@ def test_kpi_board(spark):
     assert (a["price"], a["session_high"], a["session_low"], a["window_spread"]) == (2.0, 5.0, 1.0, 0.0)
     assert (a["signal"], a["strong"], a["trend"], a["risk"]) == ("BUY", True, "Bearish", "Stable")
     assert (b["signal"], b["probability"], b["strong"]) == ("WAITING", None, False)
+
+
+@pytest.mark.parametrize("n", [1001, 1500, 4000, 10**6])
+def test_newest_of_a_hot_symbol(spark, n):
+    """Nine tenths of the rows in one symbol, many of them in one second, some without a time or a symbol."""
+    at = F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 3 == 0, F.lit(5_000)).otherwise(F.col("id") * 7 % 40_000)
+    symbol = F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 20 == 0, None).otherwise("cold")
+    rows = spark.range(12_000).select("id", symbol.alias("symbol"), F.timestamp_seconds(at).alias("at")).repartition(7)
+    got = ranking.newest(rows, n, "at", [F.asc("id")])
+    w = Window.partitionBy("symbol").orderBy(F.desc("at"), "id")
+    want = rows.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n).drop("nth")
+    assert got.columns == rows.columns
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())

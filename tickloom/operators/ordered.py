@@ -93,6 +93,23 @@ class Slices:
         """``name`` = ``column`` of the next row of the key, NULL on its last row."""
         return self._shift(column, name, F.lead, "first")
 
+    def rolling(self, column: str, rows: int, name: str) -> Slices:
+        """``name`` = the values of ``column`` on the row and up to ``rows - 1`` before it, oldest first.
+
+        A slice hands over its last ``rows - 1`` values; what reaches a slice comes from so many slices before it at most, as
+        none is empty.
+        """
+        before = Window.partitionBy(*CELL).orderBy(*(F.desc(c) for c in self._order))
+        last = self._df.withColumn("_nth", F.row_number().over(before)).where(F.col("_nth") < max(rows, 2))
+        tails = last.groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("_nth", F.col(column).alias("value"))), False).alias("_tail"))
+        reach = _slices().rowsBetween(-max(rows - 1, 1), -1)
+        carried = tails.select(*CELL, F.flatten(F.collect_list("_tail").over(reach)).alias("_carried"))
+        near = F.collect_list(F.struct(F.lit(0).alias("_nth"), F.col(column).alias("value"))).over(self._rows.rowsBetween(1 - rows, 0))
+        frame = self._df.withColumn("_near", near).join(carried, CELL, "left")
+        values = F.transform(F.concat(F.coalesce("_carried", F.slice("_near", 1, 0)), "_near"), lambda v: v["value"])
+        kept = F.when(F.size("_near") + F.size(F.coalesce("_carried", F.slice("_near", 1, 0))) > rows, F.slice(values, -rows, rows)).otherwise(values)
+        return Slices(frame.withColumn(name, kept).drop("_near", "_carried"), self._order, self._edges)
+
     def percent_rank(self, name: str) -> Slices:
         """(rank - 1) / (rows of the key - 1), 0.0 for a single row."""
         total = F.sum("_n").over(Window.partitionBy(KEY))

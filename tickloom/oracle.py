@@ -230,6 +230,19 @@ moving AS (
 SELECT symbol, window_start, latest_price, {half_up("mean_price", 6)} AS mean_price,
        CASE WHEN latest_price > mean_price THEN 'Bullish' ELSE 'Bearish' END AS trend
 FROM moving WHERE nth = 1""",
+    "trend_series": f"""WITH {HOUR},
+moving AS (
+  SELECT symbol, window_start, avg_price AS latest_price,
+         CAST(sum(CAST(round(avg_price * 1000000) AS HUGEINT)) OVER w AS DOUBLE)
+           / (count(*) OVER w * 1000000) AS mean_price
+  FROM gold
+  WINDOW w AS (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+SELECT symbol, window_start, latest_price, {half_up("mean_price", 6)} AS mean_price,
+       CASE WHEN latest_price > mean_price THEN 'Bullish' ELSE 'Bearish' END AS trend
+FROM moving""",
+    "latest_many_ticks": f"""WITH {SILVER}
+SELECT * EXCLUDE (price_change_pct) FROM silver
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) <= 1500""",
     "risk_flags": f"""WITH {HOUR}
 SELECT symbol, window_start, volatility,
        CASE WHEN volatility > 1.0 THEN 'High Risk' ELSE 'Stable' END AS risk,

@@ -110,6 +110,22 @@ def trend(candles: DataFrame, windows: int = 5) -> DataFrame:
     )
 
 
+def trend_series(candles: DataFrame, windows: int = 5, cfg: TickConfig = TickConfig()) -> DataFrame:
+    """Every price against the mean of it and the ``windows - 1`` before it (fewer at the start of a symbol). Takes a stored
+    candle table. Prices are taken to a millionth, so the mean is that of whole numbers."""
+    needed = candles.select("symbol", "window_start", F.col("avg_price").alias("latest_price"))
+    rolled = (
+        Slices.of_steps(needed, ["symbol"], ["window_start"], cfg.candle_slice_seconds)
+        .rolling("latest_price", windows, "_prices")
+        .frame()
+    )
+    units = F.transform(F.array_compact("_prices"), lambda p: F.rint(p * 1e6).cast("decimal(38,0)"))
+    total = F.aggregate(units, F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x).cast("decimal(38,0)"))
+    mean = F.try_divide(total.cast("double"), F.size(units) * F.lit(1e6))
+    out = rolled.select("symbol", "window_start", "latest_price", mean.alias("mean_price"))
+    return out.withColumn("trend", trend_label(F.col("latest_price"), F.col("mean_price")))
+
+
 def risk_flags(candles: DataFrame) -> DataFrame:
     return candles.select(
         "symbol",

@@ -277,6 +277,19 @@ def trend_ma5(spark, folder):
     return serving.trend(_gold(spark, folder)).withColumn("mean_price", F.round("mean_price", 6))
 
 
+@query
+def trend_series(spark, folder):
+    """The five-window mean at every candle."""
+    return serving.trend_series(_stored_gold(spark, folder), 5, CFG).withColumn("mean_price", F.round("mean_price", 6))
+
+
+@query
+def latest_many_ticks(spark, folder):
+    """More of the newest ticks of every symbol than a task should rank."""
+    ticks = stage(_silver(spark, folder), "silver").drop("price_change_pct")
+    return ranking.newest(ticks, 1500, "timestamp")
+
+
 @query
 def risk_flags(spark, folder):
     flags = serving.risk_flags(_gold(spark, folder))
