@@ -363,3 +363,12 @@ def test_quality_measures_are_those_of_plain_python(docs_of):
         lines = [x for x in t.split("\n") if x.strip()]
         want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(marked))
         assert (got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_dup_lines, got[i].n_repeat_words) == want
+
+
+def test_a_tiny_cell_does_not_shrink_the_sample(spark):
+    rows = [("web", "en", "prose", 1e13), ("rare", "en", "prose", 1.0), ("web", "xx", "prose", 3.0), ("web", "en", "links", 10.0), ("rare", "xx", "links", 2.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    for total in (0.05, mixing.TOTAL, 0.95):
+        chances = {(r.source, r.lang, r.topic): r.probability for r in mixing.raked(cells, total=total).collect()}
+        assert chances["web", "en", "prose"] == pytest.approx(total, abs=2e-6)
+        assert all(0 < p <= 1 for p in chances.values())

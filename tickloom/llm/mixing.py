@@ -9,10 +9,9 @@ below that probability, so a sample can be repeated.
 Targets default to tempered shares: a value's share of the tokens to a power below one, normalised, so
 that large sources shrink and small ones grow; a table of shares may be given instead.
 
-One rare cell with a high factor so shrinks the whole sample. With ``total``, the share of the tokens to draw, the
-factors are scaled to meet it instead: cells whose probability would exceed 1 are taken whole, and the weights of the
-others are raked and scaled again for what is left of targets and total. The registered queries give no total, as their
-SQL has none.
+One rare cell with a high factor so would shrink the whole sample. Therefore ``total``, the share of the tokens to draw,
+sets the scale: cells whose probability would exceed 1 are taken whole, and the weights of the others are raked and scaled again
+for what is left of targets and total. Without a total (None) the cell with the largest factor is drawn whole.
 
 Only cells are raked, never rows of documents; the cell table is written once and has at most as many
 rows as there are combinations. Columns and SQL functions only.
@@ -39,6 +38,8 @@ ROUNDS = 6
 #: powers of the tempered targets
 TEMPER: Mapping[str, float] = {"source": 0.7, "lang": 0.8, "topic": 0.8}
 SEED = "mix"
+#: share of the tokens that is drawn
+TOTAL = 0.5
 _UNIT = 4294967296
 
 
@@ -152,14 +153,14 @@ def drawn(rows: DataFrame, probabilities: DataFrame) -> DataFrame:
     return out.withColumn("kept", kept)
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = None) -> DataFrame:
+def calibrated(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = TOTAL) -> DataFrame:
     """``doc_id, source, lang, topic, n_tokens, probability, kept`` of every row."""
     rows = stage(celled(docs), "celled")
     out = drawn(rows, raked(cells_of(rows), targets, total=total))
     return out.select("doc_id", *DIMENSIONS, "n_tokens", "probability", "kept")
 
 
-def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = None) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, total: float | None = TOTAL) -> DataFrame:
     """The drawn rows of ``docs``, plus their ``topic`` and ``probability`` (under other names if taken)."""
     probabilities = raked(cells_of(stage(celled(docs), "celled")), targets, total=total)
     topic, chance, s, g, t = clear_of(docs, "topic", "probability", "cell_source", "cell_lang", "cell_topic")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from .backoff import Backoff
 from .decontamination import WINDOW
 from .line_dedup import ENDING
-from .mixing import DIMENSIONS, ROUNDS, SEED, TEMPER
+from .mixing import DIMENSIONS, ROUNDS, SEED, TEMPER, TOTAL
 
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
@@ -140,6 +140,35 @@ def mixed(docs: str) -> str:
   weight * want_{d} / (sum(weight) OVER (PARTITION BY {d}) / sum(weight) OVER ()) ELSE weight END AS weight) FROM {state})"""
             )
             state = name
+    steps.append(f"uncut AS (SELECT *, false AS whole FROM {state})")
+    state = "uncut"
+
+    def scaled(name: str) -> None:
+        """Weights times one number, cut at the cells' tokens, so that they add up to the total."""
+        nonlocal state
+        order = f"ORDER BY whole DESC, weight / nullif(tokens, 0) DESC NULLS LAST, {', '.join(DIMENSIONS)}"
+        steps.append(f"""{name}_a AS (
+  SELECT *, CASE WHEN NOT whole AND tokens > 0 AND weight > 0 THEN
+    ({TOTAL}::DOUBLE * sum(tokens) OVER () - coalesce(sum(tokens) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / nullif(sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) END AS times FROM {state}),
+{name}_b AS (SELECT * REPLACE (max(CASE WHEN times * weight <= tokens * (1 + 1e-12::DOUBLE) THEN times END) OVER () AS times) FROM {name}_a),
+{name}_c AS (
+  SELECT * REPLACE (CASE WHEN whole THEN tokens ELSE least(tokens, coalesce(weight * times, tokens)) END AS weight) FROM {name}_b),
+{name} AS (SELECT * EXCLUDE (times) REPLACE (weight >= tokens * (1 - 1e-12::DOUBLE) AS whole) FROM {name}_c)""")
+        state = name
+
+    scaled("cut")
+    for i in range(ROUNDS):
+        for d in DIMENSIONS:
+            name = f"again_{i}_{d}"
+            steps.append(f"""{name} AS (
+  SELECT * EXCLUDE (taken, others, total) REPLACE (CASE WHEN NOT whole AND others > 0
+    THEN weight * greatest(greatest(want_{d} * total - taken, 0) / others, 0.01::DOUBLE) ELSE weight END AS weight)
+  FROM (SELECT *, coalesce(sum(weight) FILTER (whole) OVER (PARTITION BY {d}), 0) AS taken,
+               sum(weight) FILTER (NOT whole) OVER (PARTITION BY {d}) AS others,
+               {TOTAL}::DOUBLE * sum(tokens) OVER () AS total FROM {state}))""")
+            state = name
+        scaled(f"cut_{i}")
     wants = ",\n".join(
         f"""want_{d} AS (SELECT {d}, p / sum(p) OVER () AS want_{d}
   FROM (SELECT {d}, pow(sum(tokens), {TEMPER[d]}) AS p FROM cells GROUP BY {d}))"""
@@ -159,8 +188,8 @@ start AS (SELECT cells.*, tokens AS weight, want_source, want_lang, want_topic F
 {", ".join(steps)},
 chances AS (
   SELECT source AS c_source, lang AS c_lang, topic,
-         coalesce(round(factor / max(factor) OVER (), 6), 1.0) AS probability
-  FROM (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens END AS factor FROM {state}))
+         CASE WHEN tokens > 0 THEN greatest(1e-6::DOUBLE, least(1::DOUBLE, round(weight / tokens, 6))) ELSE 1::DOUBLE END AS probability
+  FROM {state})
 SELECT base.*, probability,
        ('0x' || substr(md5(concat('{SEED}:', coalesce(doc_id::VARCHAR, ''))), 1, 8))::BIGINT < probability * 4294967296 AS kept
 FROM base JOIN chances USING (c_source, c_lang, topic)"""
@@ -286,7 +315,8 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                    '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM {docs}),
 split AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda w: w <> '') AS ws FROM pieces),
 grams AS (
