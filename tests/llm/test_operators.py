@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickloom.llm import backoff, chat, components, html_text, line_dedup, mixing, near_dedup, quality, substring_dedup, toxicity
 from tickloom.llm.queries import QUERIES
@@ -167,19 +168,72 @@ def test_passages_go_at_any_offset(docs_of):
     own = iter(prose(rng, 12) for _ in range(9999))
     place = lambda p, before, after: [*itertools.islice(own, before), *p, *itertools.islice(own, after)]
     texts = [place(p, rng.randrange(4), rng.randrange(4)) for p in passages]
-    few = [prose(rng, 20), prose(rng, 20)]  # not over 50 words
-    texts += [place(p, i % 5, i % 3) for i, p in enumerate(passages)] + [few, few]
-    out = {r.doc_id: r for r in line_dedup.without_passages(docs_of(["\n".join(t) for t in texts])).collect()}
+    texts += [place(p, i % 5, i % 3) for i, p in enumerate(passages)]
+    out = {r.doc_id: r for r in line_dedup.without_repeats(docs_of(["\n".join(t) for t in texts])).collect()}
     n = len(passages)
     for i, p in enumerate(passages):
         assert out[i].text == "\n".join(texts[i]) and out[i].cut is None
         assert out[n + i].text == "\n".join(x for x in texts[n + i] if x not in p)
-    assert [r.text for r in (out[2 * n], out[2 * n + 1])] == ["\n".join(few)] * 2
 
 
-def test_passages_of_odd_rows(odd_docs):
-    cut = line_dedup.without_passages(odd_docs)
-    assert cut.columns == [*odd_docs.columns, "_cut"] and cut.count() == odd_docs.count()
+def plain_line_dedup(texts, min_words=50):
+    """Texts without repeated lines, and the runs that are cut, compared by their bytes."""
+    spans = []
+    for d, text in enumerate(texts):
+        lines = text.split("\n")
+        h = [hashlib.md5(x.encode()).hexdigest() for x in lines]
+        ends = [i for i in range(len(lines)) if hashlib.md5(((h[i - 1] if i else "") + h[i]).encode()).hexdigest()[0] <= "3" or i == len(h) - 1]
+        chunks = {(a + 1, b) for a, b in zip([-1, *ends], ends) if b > a + 1}
+        for a, b in chunks | {(i, i + 1) for i in range(len(lines) - 1)}:
+            spans.append((d, a, b, (a, b) in chunks, "\n".join(lines[a : b + 1])))
+    first = {}
+    for d, a, _, _, body in sorted(spans):
+        first.setdefault(body, (d, a))
+    out = []
+    for d, text in enumerate(texts):
+        lines = text.split("\n")
+        later = [s for s in spans if s[0] == d and (not s[4].split() or first[s[4]] != (d, s[1]))]
+        gone = {i for _, a, b, chunk, body in later if chunk and body.split() for i in range(a, b + 1)}
+        pairs = sorted(a for _, a, b, _, _ in later if b == a + 1)
+        for _, run in itertools.groupby(enumerate(pairs), lambda x: x[1] - x[0]):
+            run = [a for _, a in run]
+            if len("\n".join(lines[run[0] : run[-1] + 2]).split()) > min_words:
+                gone |= set(range(run[0], run[-1] + 2))
+        starts = [i for i in sorted(gone) if i - 1 not in gone]
+        cut = [(i, next(n for n in itertools.count(1) if i + n not in gone)) for i in starts]
+        out.append(("\n".join(x for i, x in enumerate(lines) if i not in gone), cut or None))
+    return out
+
+
+def lines_at_random(seed):
+    """Texts of few different lines, long, short and blank ones."""
+    rng = random.Random(seed)
+    known = ["", " ", *(prose(rng, rng.choice([1, 3, 20, 40])) for _ in range(25))]
+    new = lambda: prose(rng, 15)
+    some = lambda: [rng.choice(known) if rng.random() < 0.8 else new() for _ in range(rng.randrange(1, 12))]
+    passages = [some() for _ in range(6)]
+    return ["\n".join(x for _ in range(rng.randrange(1, 5)) for x in (rng.choice(passages) if rng.random() < 0.6 else some())) for _ in range(60)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_line_dedup_is_that_of_brute_force(docs_of, seed):
+    texts = lines_at_random(seed)
+    out = {r.doc_id: (r.text, r.cut and [tuple(c) for c in r.cut]) for r in line_dedup.without_repeats(docs_of(texts)).collect()}
+    want = plain_line_dedup(texts)
+    assert [out[i] for i in range(len(texts))] == want and sum(cut is not None for _, cut in want) > 20
+
+
+def test_equal_names_of_other_lines_remove_nothing(docs_of, monkeypatch):
+    texts = lines_at_random(4)
+    asked = []
+
+    def weak(data):
+        asked.append(1)
+        return F.lpad(F.hex(F.length(data) % 3), 32, "0")
+
+    monkeypatch.setattr(line_dedup, "NAMES", (weak, line_dedup.sha256))
+    out = {r.doc_id: r.text for r in line_dedup.without_repeats(docs_of(texts)).collect()}
+    assert asked and [out[i] for i in range(len(texts))] == [t for t, _ in plain_line_dedup(texts)]
 
 
 def test_raking_meets_the_targets(spark):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from .backoff import Backoff
 from .decontamination import WINDOW
-from .line_dedup import ENDING
+from .line_dedup import ENDING, MIN_WORDS
 from .mixing import DIMENSIONS, ROUNDS, SEED, TEMPER, TOTAL
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -210,27 +210,38 @@ ended AS (
   SELECT r, doc_id, lines, list_filter(range(1, len(h) + 1),
          lambda i: substr(md5(concat(coalesce(h[i - 1], ''), h[i])), 1, 1) <= '{ENDING}' OR i = len(h)) AS ends FROM hashed),
 chunks AS (
-  SELECT r, doc_id, no, ends[no] - coalesce(ends[no - 1], 0) AS n_lines,
-         array_to_string(lines[coalesce(ends[no - 1], 0) + 1:ends[no]], chr(10)) AS body
+  SELECT r, doc_id, lines, coalesce(ends[no - 1], 0) + 1 AS first, ends[no] AS last
   FROM (SELECT r, doc_id, lines, ends, unnest(range(1, len(ends) + 1)) AS no FROM ended)),
+spans AS (
+  SELECT r, doc_id, first, last, bool_or(is_chunk) AS is_chunk, any_value(array_to_string(lines[first:last], chr(10))) AS body
+  FROM (SELECT *, TRUE AS is_chunk FROM chunks WHERE last > first UNION ALL
+        SELECT r, doc_id, lines, i, i + 1, FALSE FROM (SELECT *, unnest(range(1, len(lines))) AS i FROM hashed))
+  GROUP BY r, doc_id, first, last),
 repeated AS (
-  SELECT body, min({{'d': doc_id, 'n': no}}) AS first FROM chunks
-  WHERE n_lines >= 2 AND regexp_matches(body, '{NOT_WHITE}')
-  GROUP BY body HAVING count(DISTINCT {{'d': doc_id, 'n': no}}) > 1),
-judged AS (
-  SELECT chunks.*, first IS NOT NULL AND n_lines >= 2 AND first IS DISTINCT FROM {{'d': chunks.doc_id, 'n': no}} AS gone
-  FROM chunks LEFT JOIN repeated USING (body)),
-texts AS (
-  SELECT r, coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '') AS rest,
-         count(*) FILTER (gone) AS n_gone, coalesce(sum(n_lines) FILTER (gone), 0) AS gone_lines
-  FROM judged GROUP BY r)
-SELECT base.*, rest, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(gone_lines, 0)::BIGINT AS gone_lines
-FROM base LEFT JOIN texts USING (r)"""
+  SELECT body, min({{'d': doc_id, 'n': first}}) AS earliest FROM spans WHERE regexp_matches(body, '{NOT_WHITE}') GROUP BY body),
+later AS (
+  SELECT spans.*, earliest IS NULL AS blank FROM spans LEFT JOIN repeated USING (body)
+  WHERE earliest IS DISTINCT FROM {{'d': doc_id, 'n': first}} AND (earliest IS NOT NULL OR last = first + 1)),
+pairs AS (
+  SELECT *, first - row_number() OVER (PARTITION BY r ORDER BY first) AS run FROM later WHERE last = first + 1),
+runs AS (SELECT r, min(first) AS first, max(last) AS last FROM pairs GROUP BY r, run),
+gone AS (
+  SELECT DISTINCT r, unnest(range(first, last + 1)) AS line FROM (
+    SELECT r, first, last FROM later WHERE is_chunk AND NOT blank UNION ALL
+    SELECT r, first, last FROM runs JOIN hashed USING (r)
+    WHERE len(regexp_extract_all(array_to_string(lines[first:last], chr(10)), '{WORD}')) > {MIN_WORDS})),
+cuts AS (
+  SELECT r, list(line) AS cut, count(*) AS gone_lines, count(*) FILTER (before IS DISTINCT FROM line - 1) AS n_gone
+  FROM (SELECT r, line, lag(line) OVER (PARTITION BY r ORDER BY line) AS before FROM gone) GROUP BY r)
+SELECT base.*, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(gone_lines, 0)::BIGINT AS gone_lines,
+       CASE WHEN cut IS NULL THEN text
+            ELSE array_to_string(list_filter(lines, lambda x, i: NOT list_contains(cut, i)), chr(10)) END AS rest
+FROM base LEFT JOIN cuts USING (r)"""
 
 
 def lines(docs: str) -> str:
     return f"""
-SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, n_gone AS n_removed_chunks, gone_lines AS n_removed_lines,
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, n_gone AS n_removed_runs, gone_lines AS n_removed_lines,
        sha256(coalesce(rest, '')) AS kept_sha256
 FROM ({line_rows(docs)})"""
 
