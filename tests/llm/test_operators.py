@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -399,6 +400,69 @@ def test_quotes_without_a_partner_take_no_text(tag):
     assert html_text.main_text(f"<article>{body}</article>").split("\n") == [f"{p} Link" for p in ARTICLE]
 
 
+HIDDEN = ['<span style="display: none">{}</span>', "<span hidden>{}</span>", "<b aria-hidden=true>{}<b>{}</b></b>", "<script>{}</script>",
+          "<svg><path d='M0'/><text>{}</text></svg>", "<noscript><p>{}</p></noscript>", "<button>{}</button>"]
+
+
+def page_at_random(seed):
+    """An article with its text, from parts that are known to be shown or not."""
+    rng = random.Random(seed)
+
+    def inline():
+        shown, source = [], []
+        for _ in range(rng.randrange(2, 6)):
+            words = prose(rng, rng.randrange(4, 14)) + ", and."
+            shown.append(words)
+            tag = rng.choice(["b", "em", "a", "span", "code"])
+            source.append(words if rng.random() < 0.5 else f"<{tag} class='x'>{words}</{tag}>")
+            if rng.random() < 0.4:
+                source.append(rng.choice(HIDDEN).replace("{}", "never shown"))
+            if rng.random() < 0.2:
+                shown.append("x=2")
+                source.append("<math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math>")
+        return " ".join(shown), " \n".join(source)
+
+    def blocks(depth):
+        shown, source = [], []
+        for _ in range(rng.randrange(2, 5)):
+            text, html = inline()
+            kind = rng.randrange(6 if depth < 4 else 4)
+            if kind < 3:
+                close = "</p>" if rng.random() < 0.7 else ""
+                shown, source = [*shown, text], [*source, f"<p>{html}{close}"]
+            elif kind == 3:
+                shown, source = [*shown, text], [*source, f"<ul><li>{html}</ul>"]
+            else:
+                texts, inner = blocks(depth + 1)
+                tag = ("div", "fieldset")[kind - 4]
+                shown, source = [*shown, *texts], [*source, f"<{tag}>{inner}</{tag}>"]
+            if rng.random() < 0.3:
+                inside = source[-1].startswith("<p>") and not source[-1].endswith("</p>")
+                source.append(rng.choice([NOISE["ad"], NOISE["script"], NOISE["comment"], "" if inside else "<span class='ad'>Buy, now.</span>"]))
+        return shown, "\n".join(source)
+
+    shown, source = blocks(0)
+    around = [NOISE[k] for k in ("nav", "header", "notice", "sidebar", "footer")]
+    return "\n".join(shown), f"<html><body>{''.join(around[:3])}<article>{source}</article>{''.join(around[3:])}</body></html>"
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_generated_pages(seed):
+    want, page = page_at_random(seed)
+    assert html_text.main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 75_000 + "a, b.", "<div>" * 20_000 + "</p>" * 50_000 + "a, b.", "<x>" * 20_000 + "<p>a, b." * 20_000,
+     "<article class=ad>" * 20_000 + "a, b.", "<li>" * 20_000 + "<div>a, b." * 20_000, "<span hidden>" * 20_000 + "</span>" * 20_000 + "a, b."],
+)
+def test_deep_pages_take_linear_time(page):
+    started = time.process_time()
+    assert html_text.main_text(page).endswith("a, b.")
+    assert time.process_time() - started < 3
+
+
 def test_many_comments_beside_the_article_go():
     said = "<article class='comment'><p>Great article, thanks. I liked it, a lot, as always.</p></article>" * 40
     body = "".join(f"<p>{p}</p>" for p in ARTICLE)

@@ -12,7 +12,10 @@ they hold, and blocks of paths so named count only if selected all the same. The
 the page's main article, or holds most text of the article or page, is not asked. What is so named beside the main
 article, and is and holds no other article, is left out.
 
-A page is a row of its own: the work is one map over rows, without a shuffle.
+Elements that are not shown (scripts, hidden ones, pictures) leave the text around them in one block; an inline element
+between blocks that is named an advert or the like is left out.
+
+Time is linear in the length of a page, whatever its depth. A page is a row of its own: the work is one map over rows, without a shuffle.
 
 Defined cases: null or empty html, and pages without content, give an empty string. Broken markup (unclosed
 or stray tags, cut-off pages, unquoted attributes) is read as far as it goes. Repeated rows give
@@ -25,7 +28,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -35,14 +39,20 @@ from pyspark.sql import functions as F
 # Element names of HTML.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
-DROPPED = frozenset(
-    "script style textarea title noscript template svg math iframe object select button form nav footer aside "
-    "head dialog menu canvas audio video fieldset datalist xmp noframes".split()
+DROPPED = frozenset("form nav footer aside head dialog menu xmp noframes".split())
+#: not shown as text, and no end of the block around them
+UNSHOWN = frozenset(
+    "script style textarea title noscript template svg iframe object select button canvas audio video datalist annotation "
+    "annotation-xml".split()
 )
+#: blocks of their own text stand in these only between other blocks
+CONTAINERS = frozenset("html body main article section div".split()) | {""}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: an opening tag of the key closes an open element of the value
 CLOSES = {
@@ -92,6 +102,8 @@ SMALL = 1 / 5
 TINY = 1 / 20
 #: share of the chosen text that a deeper container has to keep
 NEARLY_ALL = 0.95
+#: elements of other vocabularies, in which a tag that ends with a slash is its own end
+_SELF_CLOSED = frozenset(["svg", "iframe", *(t for t in INLINE if t.startswith("m") and t not in ("mark",))])
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、！？]")
 
@@ -119,12 +131,35 @@ class Page:
     #: path of every article-like element
     holders: list[int] = field(default_factory=lambda: [0])
 
+    # a path has a higher number than its parent
+
+    def below(self, top: int) -> list[bool]:
+        """For every path whether it is ``top`` or lies below it."""
+        out = [False] * len(self.parents)
+        out[top] = True
+        for p in range(top + 1, len(out)):
+            out[p] = out[self.parents[p]]
+        return out
+
+    def sums(self, values: dict[int, int]) -> list[int]:
+        """For every path the sum over itself and all paths below it."""
+        out = [0] * len(self.parents)
+        for p, value in values.items():
+            out[p] = value
+        for p in range(len(out) - 1, 0, -1):
+            out[self.parents[p]] += out[p]
+        return out
+
     def ancestors(self, path: int) -> Iterator[int]:
         while path > 0:
             yield path
             path = self.parents[path]
 
 
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+
+
 def _attributes(source: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(source):
@@ -134,12 +169,14 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+def _hidden(attrs: dict[str, str]) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I))
+
+
+def _unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    if tag in DROPPED or (tag == "header" and not in_article) or _hidden(attrs):
         return True
     return attrs.get("role", "").lower() in _ROLES
 
@@ -151,33 +188,82 @@ def _named(tag: str, names: str, in_article: bool) -> bool:
     return bool(_BOILER.search(names)) or (not in_article and bool(_HEADER_NAME.search(names)))
 
 
+class _Open:
+    """The open block elements, with the places of every tag, so that an end tag needs no search."""
+
+    def __init__(self):
+        # (tag, path, dropped, innermost article-like element)
+        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        self._places: dict[str, list[int]] = {}
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost element of the tags, 0 if none is open."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+
+    def first(self, tags: Iterable[str], after: int) -> int:
+        """Place of the outermost element of the tags inside a place, 0 if there is none."""
+        lists = [places for t in tags if (places := self._places.get(t)) and places[-1] > after]
+        return min((places[bisect_right(places, after)] for places in lists), default=0)
+
+    def push(self, tag: str, path: int, dropped: bool, holder: int) -> None:
+        self._places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, path, dropped, holder))
+
+    def close(self, place: int) -> None:
+        """End the element at a place and all inside it."""
+        while len(self.stack) > place:
+            self._places[self.stack.pop()[0]].pop()
+
+
+@dataclass
+class _Inline:
+    """An open inline element whose text is not shown, or is named boilerplate, in a block at ``depth``."""
+
+    tag: str
+    depth: int
+    open: int = 1
+
+    def met(self, tag: str, closing: str) -> bool:
+        """Whether the element is still open after this tag."""
+        if tag == self.tag:
+            self.open += -1 if closing else 1
+        return self.open > 0
+
+
 def parse(source: str) -> Page:
     """Blocks with their paths. Inline elements are part of their block and not of the path."""
     page = Page()
     known: dict[tuple[int, str, bool, bool], int] = {}
-    # open block elements: (tag, path, dropped, innermost article-like element)
-    stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+    tree = _Open()
+    stack = tree.stack
     pieces: list[str] = []
-    linked, link_depth = 0, 0
+    linked, link_depth, named_chars, all_chars = 0, 0, 0, 0
+    hidden: _Inline | None = None
+    boiler: _Inline | None = None
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, named_chars, all_chars
         if pieces:
             text = _SPACE.sub(" ", "".join(pieces)).strip()
             pieces.clear()
             if text:
                 tag, path, dropped, holder = stack[-1]
-                if not dropped:
+                # an advert between paragraphs may be an inline element
+                advert = named_chars == all_chars and tag in CONTAINERS
+                if not dropped and not advert:
                     page.blocks.append(Block(path, text, min(linked, len(text)), tag in HEADINGS, holder))
-        linked = 0
+        linked = named_chars = all_chars = 0
 
     def said(raw: str) -> None:
-        nonlocal linked
-        if raw:
+        nonlocal linked, named_chars, all_chars
+        if raw and not hidden:
             text = html.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if link_depth:
                 linked += len(text)
+            if not text.isspace():
+                all_chars += len(text)
+                named_chars += len(text) if boiler else 0
 
     at, size = 0, len(source)
     while at < size:
@@ -198,9 +284,23 @@ def parse(source: str) -> Page:
         if tag == "br":
             pieces.append(" ")
             continue
-        if tag in INLINE:
+        if tag in INLINE or tag in UNSHOWN:
             if tag == "a":
                 link_depth = max(0, link_depth - 1) if closing else link_depth + 1
+            empty = tag in VOID or (m[3].endswith("/") and tag in _SELF_CLOSED)
+            if hidden:
+                hidden = hidden if empty or hidden.met(tag, closing) else None
+            elif not closing and not empty and (tag in UNSHOWN or (m[3] and _hidden(_attributes(m[3])))):
+                hidden = _Inline(tag, len(stack))
+            if boiler:
+                boiler = boiler if empty or boiler.met(tag, closing) else None
+            elif not closing and not empty and m[3] and stack[-1][0] in CONTAINERS:
+                attrs = _attributes(m[3])
+                if _BOILER.search(f"{attrs.get('class', '')} {attrs.get('id', '')}"):
+                    boiler = _Inline(tag, len(stack))
+            if not closing and tag in RAW:
+                end = _end_of(tag).search(source, at)
+                at = end.start() if end else size
             continue
         if tag in VOID:
             if tag == "hr":
@@ -208,27 +308,28 @@ def parse(source: str) -> Page:
             continue
         if not closing and tag in RAW:
             flush()
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
+            end = _end_of(tag).search(source, at)
             at = end.end() if end else size
             continue
-        flush()
+        place, ends = 0, CLOSES.get(tag)
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            place = tree.last((tag,))
+        elif ends:
+            wall = tree.last(_WALL_OF.get(tag, WALLS) - ends)
+            if hidden and hidden.tag in UNSHOWN:
+                wall = max(wall, hidden.depth - 1)
+            place = tree.first(ends, wall)
+        if not hidden or 0 < place < hidden.depth:  # what is not shown does not part the text around it
+            flush()
             link_depth = 0
+        if place:
+            tree.close(place)
+        # an inline element ends with the block it is in
+        hidden = hidden if hidden and hidden.depth <= len(stack) else None
+        boiler = boiler if boiler and boiler.depth <= len(stack) else None
+        if closing:
             continue
-        link_depth = 0
-        ends = CLOSES.get(tag)
-        if ends:
-            walls = _WALL_OF.get(tag, WALLS)
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in ends:
-                    del stack[depth:]
-                elif stack[depth][0] in walls:
-                    break
-        if m[3].rstrip().endswith("/") and tag in ("svg", "path", "iframe"):
+        if m[3].rstrip().endswith("/") and tag == "path":
             continue
         attrs = _attributes(m[3])
         _, parent, dropped, holder = stack[-1]
@@ -244,11 +345,11 @@ def parse(source: str) -> Page:
             page.labels.append(label)
             page.article.append(article)
             page.named.append(named)
-        dropped = dropped or _unwanted(tag, attrs, holder > 0)
+        dropped = dropped or hidden is not None or _unwanted(tag, attrs, holder > 0)
         if article:
             holder = len(page.holders)
             page.holders.append(path)
-        stack.append((tag, path, dropped, holder))
+        tree.push(tag, path, dropped, holder)
     flush()
     return page
 
@@ -263,30 +364,38 @@ def name_factors(page: Page) -> dict[int, float]:
     # short elements that only their words call an article may be its title or date
     text = {h: n for h, n in text.items() if h and n >= total * (TINY if page.holders[h] in tagged else SMALL)}
 
+    n = len(page.parents)
+    in_named = [False] * n
+    for p in range(1, n):
+        in_named[p] = page.named[p] or in_named[page.parents[p]]
+
     def size(holder: int) -> float:
-        return text[holder] * (NAMED if any(page.named[p] for p in page.ancestors(page.holders[holder])) else 1)
+        return text[holder] * (NAMED if in_named[page.holders[holder]] else 1)
 
     # the main article: the article-like element with the most text of its own
     main = page.holders[max(text, key=lambda h: (size(h), -h))] if text else 0
     around = set(page.ancestors(main))
-    under: dict[int, int] = {}
+    chars: dict[int, int] = {}
     for b in page.blocks:
-        for p in page.ancestors(b.path):
-            under[p] = under.get(p, 0) + len(b.text)
+        chars[b.path] = chars.get(b.path, 0) + len(b.text)
+    under = page.sums(chars)
     whole = under[main] if main else total
-
-    over_articles = {up for p in tagged if not page.named[p] for up in page.ancestors(p)}
+    in_main = page.below(main)
+    over_articles = page.sums({p: 1 for p in tagged if p and not page.named[p]})
 
     def factor(named: int) -> float:
         if named in around:
             return 1.0
-        if main and main not in page.ancestors(named):
-            return NAMED if named in tagged else NAMED_APART if named in over_articles else 0.0
+        if main and not in_main[named]:
+            return NAMED if named in tagged else NAMED_APART if over_articles[named] else 0.0
         if under[named] < SMALL * whole:
             return NAMED_APART
         return 1.0 if 2 * under[named] > whole else NAMED
 
-    return {path: min((factor(p) for p in page.ancestors(path) if page.named[p]), default=1.0) for path in {b.path for b in page.blocks}}
+    least = [1.0] * n
+    for p in range(1, n):
+        least[p] = min(least[page.parents[p]], factor(p)) if page.named[p] else least[page.parents[p]]
+    return {p: least[p] for p in chars}
 
 
 def path_scores(page: Page) -> dict[int, float]:
@@ -329,26 +438,22 @@ def main_text(source: str | None) -> str:
     chosen = {p for p in scores if scores[p] >= mean / 3}
     factors = name_factors(page)
     left_out = {p for p in scores if factors[p] < 1 and p not in chosen}
-    votes: dict[int, int] = {}
-    total = 0
-    for p in chosen:
-        total += weight[p]
-        for up in page.ancestors(p):
-            votes[up] = votes.get(up, 0) + weight[p]
-    # from the outermost article-like element with most of the chosen text down, while nearly all of it is kept
-    holders = [p for p, v in votes.items() if page.article[p] and 2 * v > total]
-    depth = {p: sum(1 for _ in page.ancestors(p)) for p in holders}
+    votes = page.sums({p: weight[p] for p in chosen})
+    total = votes[0]
+    # from the outermost article-like element with most of the chosen text down, while nearly all of it is kept. Those
+    # with more than half lie on one line, so their numbers grow with their depth.
     container = None
-    for p in sorted(holders, key=lambda p: (depth[p], p)):
-        if container is None or votes[p] >= NEARLY_ALL * votes[container]:
+    for p in range(1, len(votes)):
+        if page.article[p] and 2 * votes[p] > total and (container is None or votes[p] >= NEARLY_ALL * votes[container]):
             container = p
     inside: set[int] = set()
     near = chosen
     if container is not None:
-        inside = {p for p in weight if container in page.ancestors(p)} - left_out
+        in_container = page.below(container)
+        inside = {p for p in weight if in_container[p]} - left_out
         if votes[container] >= NEARLY_ALL * total:
-            top = [p for p in page.ancestors(container) if page.article[p]][-1]
-            near = {p for p in chosen if top in page.ancestors(p)}
+            in_top = page.below([p for p in page.ancestors(container) if page.article[p]][-1])
+            near = {p for p in chosen if in_top[p]}
     picked = [b.path in inside or b.path in near for b in page.blocks]
     if near is chosen:
         for i in range(len(picked) - 2, -1, -1):  # a heading belongs to the content it stands above
