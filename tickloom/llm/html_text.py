@@ -52,7 +52,7 @@ UNSHOWN = frozenset(
     "annotation-xml".split()
 )
 #: blocks of their own text stand in these only between other blocks
-CONTAINERS = frozenset("html body main article section div".split()) | {""}
+CONTAINERS = frozenset("html body main article section div fieldset".split()) | {""}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: an opening tag of the key closes an open element of the value
 CLOSES = {
