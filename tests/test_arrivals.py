@@ -105,3 +105,77 @@ def test_balance_of_all_messages(spark, topic, cfg):
     assert sum(found.values()) == sum(map(len, sent))
     behind = audit.ticks_behind_candles(pipeline.tables.read("silver"), pipeline.tables.read("gold"), cfg).where("closed")
     assert [r.timestamp.second for r in behind.collect()] == [5]
+
+
+def outcomes(pipeline):
+    """Symbol, second and price of all rows by table."""
+    return {name: prices(pipeline, name) for name in ("bronze", "duplicates", "late")}
+
+
+def test_rows_go_through_built_in_operators_only(spark, topic, cfg):
+    topic.send(message("A", 0), message("A", 0, 12.0), message("A", 1))
+    topic.send(message("A", 0), message("A", 300))
+    pipeline, query = run_bronze(spark, cfg)
+    assert {o["operatorName"] for p in query.recentProgress for o in p["stateOperators"]} == {"dedupe"}
+    assert "Python" not in pipeline.frame("bronze")._jdf.queryExecution().toString()
+    # the topic is one source, though two branches read it
+    assert [len(p["sources"]) for p in query.recentProgress] == [1] * len(query.recentProgress)
+
+
+# duplicates and late rows if one run takes all batches, and if each has its own, which ends with the new watermark
+BY_RUNS = {
+    1: (
+        [("A", 0, 1.0), ("A", 40, 1.0), ("A", 100, 3.0), ("A", 102, 4.0), ("B", 41, 10.0)],
+        [("A", 0, 2.0), *(("A", 40, p) for p in (2.0, 3.0, 4.0)), ("A", 100, 4.0), ("A", 101, 3.0), ("A", 101, 4.0), ("B", 40, 2.0), ("B", 40, 10.0)],
+    ),
+    6: (
+        [("A", 102, 4.0), ("B", 41, 10.0)],
+        [
+            *(("A", 0, p) for p in (1.0, 2.0)),
+            *(("A", 40, p) for p in (1.0, 2.0, 3.0, 4.0)),
+            *(("A", second, p) for second in (100, 101) for p in (3.0, 4.0)),
+            *(("B", 40, p) for p in (2.0, 10.0)),
+        ],
+    ),
+}
+
+
+@pytest.mark.parametrize("runs", [1, 6])
+def test_keys_around_the_watermark(spark, topic, cfg, runs):
+    batches = [
+        [message("A", 0), message("A", 40), message("A", 100)],
+        # the watermark is at 40: in the batch that it first holds for, known keys up to it are still known, others late
+        [message("A", 0, 1.0), message("A", 40, 1.0), message("B", 40), message("B", 41), message("B", 41)],
+        # now they are forgotten
+        [message("A", 0, 2.0), message("A", 40, 2.0), message("B", 40, 2.0)],
+        [message("A", 161)],
+        [message("A", 40, 3.0), message("A", 100, 3.0), message("A", 101, 3.0), message("A", 102, 3.0)],
+        [message("A", 40, 4.0), message("A", 100, 4.0), message("A", 101, 4.0), message("A", 102, 4.0)],
+    ]
+    for n, texts in enumerate(batches):
+        topic.send(*texts)
+        if runs > 1 or n == len(batches) - 1:
+            pipeline, _ = run_bronze(spark, cfg)
+    found = outcomes(pipeline)
+    assert found["bronze"] == [("A", 0, 10.0), ("A", 40, 10.0), ("A", 100, 10.0), ("A", 102, 3.0), ("A", 161, 10.0), ("B", 41, 10.0)]
+    assert (found["duplicates"], found["late"]) == BY_RUNS[runs]
+
+
+def test_a_batch_tried_again_has_the_same_outcomes(spark, topic, cfg):
+    topic.send(message("A", 0), message("A", 0, 3.0), message("A", 100))
+    topic.send(message("A", 0, 1.0), message("B", 30), message("B", 50), message("A", 200))
+    pipeline, _ = run_bronze(spark, cfg)
+    found = outcomes(pipeline)
+    tables = pipeline.tables
+    for kind, first in (("commits", 1), ("offsets", 2)):
+        for name, _ in tables.files.folder(f"{cfg.checkpoint('bronze')}/{kind}"):
+            number = name.strip(".").removesuffix(".crc")
+            if number.isdigit() and int(number) >= first:
+                tables.files.delete(f"{cfg.checkpoint('bronze')}/{kind}/{name}")
+    topic.send(message("A", 0, 4.0), message("A", 201))
+    pipeline, _ = run_bronze(spark, cfg)
+    again = outcomes(pipeline)
+    assert found["late"] == [("B", 30, 10.0)]
+    assert again["bronze"] == sorted([*found["bronze"], ("A", 201, 10.0)])
+    assert again["duplicates"] == found["duplicates"] == [("A", 0, 1.0), ("A", 0, 10.0)]
+    assert again["late"] == sorted([*found["late"], ("A", 0, 4.0)])

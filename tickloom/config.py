@@ -36,7 +36,7 @@ class TickConfig:
     slide: str | None = None
 
     # Bronze takes the first arrival also among rows of one batch, and stores duplicates and late rows. Off,
-    # it takes any one and only counts the late ones, which is faster: no row goes through Python.
+    # it takes any one and only counts the late ones, which is faster: the topic is read once.
     ordered_arrivals: bool = False
     # Keep undecodable messages as NULL rows instead of moving them to the reject table.
     keep_undecodable: bool = False

@@ -3,81 +3,47 @@
 ``dropDuplicates`` keeps any one of several rows of a key in a batch and drops late rows unseen. Here the smallest row by arrival
 is kept, the others come out as duplicates, and rows behind the watermark as late ones.
 
-Spark drops rows behind the watermark ahead of a stateful operator. So the watermark is taken from a clock that runs as far ahead
-of the event time as its delay is longer: its value is that of the plain watermark, but no row is ever behind it, and the operator judges
-for itself. A key's state ends when the watermark passes its time.
+The stream only says which keys are new: ``with_news`` puts one row per key that ``dropDuplicates`` lets pass beside all rows, which
+go through no state. ``judged`` then decides inside a batch, in one shuffle by key. Both run in built-in operators. A key without
+such a row is in the state, or late; which of them, the watermark of the batch before says, as it ended the state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
 
 KEPT, DUPLICATE, LATE = "kept", "duplicate", "late"
 OUTCOME = "outcome"
-AHEAD = "365000 days"
+NEWS = "_news"
 
 
-def sort_key(row: Row, order: Sequence[str]) -> tuple:
-    """As Spark orders rows: nulls first."""
-    return tuple((row[c] is not None, row[c]) for c in order)
+def with_news(df: DataFrame, watermark: str, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
+    """The rows of a stream and, marked by ``_news``, a row for each key that is neither in the state nor behind the watermark
+    of the batch before. ``keys`` must hold ``time``: a key leaves the state when the watermark reaches it."""
+    news = df.select(*keys).withWatermark(time, watermark).dropDuplicates(list(keys)).withColumn(NEWS, F.lit(True))
+    return df.withColumn(NEWS, F.lit(False)).unionByName(news, allowMissingColumns=True)
 
 
-class FirstArrival(StatefulProcessor):
-    def __init__(self, order: Sequence[str], time_place: int, columns: Sequence[str]):
-        self.order = list(order)
-        self.time_place = time_place
-        self.columns = list(columns)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.made = Row(*self.columns, OUTCOME)
-        self.seen = handle.getValueState("seen", "arrived boolean")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        at = key[self.time_place]
-        time = None if at is None else int(at.timestamp() * 1000)
-        known = self.seen.exists()
-        if not known and time is not None and time <= timerValues.getCurrentWatermarkInMs():
-            yield from (self._out(row, LATE) for row in rows)
-            return
-        first = None
-        for row in rows:
-            if known:
-                yield self._out(row, DUPLICATE)
-            elif first is None:
-                first = row
-            else:
-                # one row at a time: a key may be delivered any number of times
-                first, other = (row, first) if sort_key(row, self.order) < sort_key(first, self.order) else (first, row)
-                yield self._out(other, DUPLICATE)
-        if first is not None:
-            self.seen.update((True,))
-            if time is not None:
-                self.handle.registerTimer(time)
-            yield self._out(first, KEPT)
-
-    def _out(self, row: Row, outcome: str) -> Row:
-        return self.made(*(row[c] for c in self.columns), outcome)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def judged(df: DataFrame, watermark: str, keys: Sequence[str], arrival: Sequence[str], time: str = "timestamp") -> DataFrame:
-    """The rows of a stream with their ``outcome``: the first to arrive of each key is kept. ``arrival`` orders rows of
-    one batch, all other columns decide ties; what an earlier batch brought was earlier."""
-    columns = df.columns
+def judged(
+    batch: DataFrame, ended: int, behind: int, keys: Sequence[str], arrival: Sequence[str], time: str = "timestamp"
+) -> DataFrame:
+    """The rows of one batch of ``with_news`` with their ``outcome``: the first to arrive of each key is kept. ``arrival`` orders
+    rows of one batch, all other columns decide ties; what an earlier batch brought was earlier. ``ended`` and ``behind``
+    are the watermarks (milliseconds) of the batch before, up to which keys left the state, and of this one.
+    """
+    columns = [c for c in batch.columns if c != NEWS]
     order = [*arrival, *(c for c in columns if c not in arrival and c not in keys)]
-    clocked = df.withColumn("_clock", F.col(time) + F.expr(f"INTERVAL {AHEAD}")).withWatermark("_clock", f"{AHEAD} {watermark}")
-    schema = StructType([*df.schema.fields, StructField(OUTCOME, StringType())])
-    processor = FirstArrival(order, list(keys).index(time), columns)
-    return clocked.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
+    # a running frame: a key may be delivered any number of times, and none of its rows is held
+    so_far = Window.partitionBy(*keys).orderBy(F.desc(NEWS), *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.unix_millis(time)
+    # known up to the end of the batch whose watermark reaches it
+    late = (at <= behind) & (F.col("_new") | (at <= ended))
+    first = F.col("_new") & (F.col("_place") == 2)
+    return (
+        batch.withColumns({"_new": F.first(NEWS).over(so_far), "_place": F.row_number().over(so_far)})
+        .where(~F.col(NEWS))
+        .select(*columns, F.when(late, LATE).when(first, KEPT).otherwise(DUPLICATE).alias(OUTCOME))
+    )

@@ -16,7 +16,7 @@ from tickloom.functions import (
     spread,
     to_event_time,
 )
-from tickloom.operators.arrivals import judged
+from tickloom.operators.arrivals import judged, with_news
 from tickloom.operators.candle_states import states
 from tickloom.operators.candles import candles
 from tickloom.operators.dedup import TICK_KEY, first_arrivals
@@ -60,10 +60,15 @@ def bronze(
     return first_arrivals(ticks, cfg.bronze_watermark, arrival=arrival)
 
 
-def bronze_outcomes(ticks: DataFrame, cfg: TickConfig = TickConfig(), arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """All ticks of a stream with their ``outcome``: kept as ``bronze`` would, late, or a duplicate."""
+def bronze_news(ticks: DataFrame, cfg: TickConfig = TickConfig()) -> DataFrame:
+    """All ticks of a stream, and the keys that are new; ``bronze_outcomes`` judges batches of it."""
     stamped = ticks.withColumn("bronze_inserted_at", F.current_timestamp())
-    return judged(stamped, cfg.bronze_watermark, TICK_KEY, arrival)
+    return with_news(stamped, cfg.bronze_watermark, TICK_KEY)
+
+
+def bronze_outcomes(batch: DataFrame, ended: int, behind: int, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """All ticks of a batch of ``bronze_news`` with their ``outcome``: kept as ``bronze`` would, late, or a duplicate."""
+    return judged(batch, ended, behind, TICK_KEY, arrival)
 
 
 def enrich(ticks: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -176,11 +177,24 @@ class Tables:
         paths = added.select("path", F.explode("files").alias("file")).select(F.concat_ws("/", "path", "file").alias("path"))
         return paths.repartition("path").mapInArrow(rows_of(ledger.table, TABLES[name]), TABLES[name])
 
+    def watermarks(self, checkpoint: str, batch_id: int) -> tuple[int, int]:
+        """The watermarks (milliseconds) of the batch before and of this one, as the checkpoint keeps them: a batch that is tried
+        again finds the same."""
+        place = f"{self.cfg.checkpoint(checkpoint)}/offsets"
+        told = [self.files.text(f"{place}/{n}").splitlines()[1] for n in (batch_id - 1, batch_id) if n >= 0]
+        before, now = ([0] + [json.loads(line)["batchWatermarkMs"] for line in told])[-2:]
+        return before, now
+
     def start_stream(
-        self, name: str, df: DataFrame, available_now: bool = False, aside: dict[str, Column] | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        available_now: bool = False,
+        aside: dict[str, Column] | None = None,
+        outcomes: Callable[[DataFrame, int], DataFrame] | None = None,
     ) -> StreamingQuery:
         """Append a stream to the table under its own checkpoint and query name. Rows that meet a condition of ``aside``
-        go to the table of that name instead, from the same run."""
+        go to the table of that name instead, from the same run; ``outcomes`` makes the rows they look at from a batch and its number."""
         # state of deduplication and windows belongs on disk, whatever session starts the stream
         self.spark.conf.set(STATE_STORE, ROCKS_DB)
         writer = (
@@ -198,7 +212,7 @@ class Tables:
                 if not aside:
                     self._write_load(name, batch, load)
                     return
-                rows = batch.persist()
+                rows = (outcomes(batch, batch_id) if outcomes else batch).persist()
                 try:
                     rest = rows
                     for other, condition in aside.items():

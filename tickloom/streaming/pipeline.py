@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,7 +31,7 @@ class LayeredPipeline:
         """Read and transform of one layer."""
         if layer == "bronze":
             ticks = layers.usable_ticks(layers.decode(message_stream(self.spark, self.cfg)), self.cfg)
-            return layers.bronze_outcomes(ticks, self.cfg) if self.aside(layer) else layers.bronze(ticks, self.cfg)
+            return layers.bronze_news(ticks, self.cfg) if self.aside(layer) else layers.bronze(ticks, self.cfg)
         if layer == REJECTS:
             return layers.rejected_messages(layers.decode(message_stream(self.spark, self.cfg)))
         if layer == "silver":
@@ -44,6 +46,10 @@ class LayeredPipeline:
             return {}
         return {"late": F.col(OUTCOME) == LATE, "duplicates": F.col(OUTCOME) == DUPLICATE}
 
+    def outcomes(self, layer: str, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The rows of a batch, told apart for the tables of ``aside``."""
+        return layers.bronze_outcomes(batch, *self.tables.watermarks(layer, batch_id))
+
     @property
     def layer_names(self) -> tuple[str, ...]:
         return LAYERS if self.cfg.keep_undecodable else (*LAYERS, REJECTS)
@@ -52,7 +58,7 @@ class LayeredPipeline:
         aside = self.aside(layer)
         for name in (layer, *aside):
             self.tables.bootstrap(name)
-        query = self.tables.start_stream(layer, self.frame(layer), available_now, aside)
+        query = self.tables.start_stream(layer, self.frame(layer), available_now, aside, partial(self.outcomes, layer))
         self.queries[layer] = query
         return query
 
