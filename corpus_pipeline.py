@@ -25,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without chunks and passages of lines that stand earlier in the corpus. A document of which no word
     is left goes; ``n_chars`` counts what is left. Null texts stay, rows with equal id and text keep the same lines."""
-    (was,) = clear_of(docs, "whole_text")
-    out = line_dedup.without_repeats(docs.withColumn(was, F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col(was))
+    (cut,) = clear_of(docs, "cut")  # the column that without_repeats adds
+    out = line_dedup.without_repeats(docs)
+    changed = F.col(cut).isNotNull()
     blank = F.translate("text", WHITE_CHARS, "") == ""
     out = out.where(~(changed & blank) | ~changed)
     n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))

@@ -4,7 +4,9 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,8 +14,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tickloom.llm import backoff, chat, components, html_text, line_dedup, mixing, near_dedup, quality, substring_dedup, toxicity
 from tickloom.llm.queries import QUERIES
+from tickloom.session import shared_folder
 
 WORDS = [f"word{i}" for i in range(300)]
 
@@ -237,6 +241,26 @@ def test_equal_names_of_other_lines_remove_nothing(docs_of, monkeypatch):
     assert asked and [out[i] for i in range(len(texts))] == [t for t, _ in plain_line_dedup(texts)]
 
 
+def test_line_step_is_that_of_brute_force(spark, docs_of):
+    texts = [*lines_at_random(5), *["\n".join(["all of this is " * 20, "a copy"])] * 2, "", " "]
+    docs = docs_of([*texts, None]).withColumn("n_chars", F.lit(-1).cast("long"))
+    out = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_chunks(spark, docs, "").collect()}
+    want = {i: (text, len(text) if cut else -1) for i, (text, cut) in enumerate(plain_line_dedup(texts)) if not cut or text.strip()}
+    assert out == want | {len(texts): (None, -1)}
+    assert set(range(len(texts))) - set(want) and {n for _, n in want.values()} > {-1}
+
+
+def test_line_step_stores_every_text_once(spark, docs_of):
+    rng = random.Random(6)
+    line = lambda: "".join(rng.choices(string.ascii_letters, k=1000))
+    own = [[line() for _ in range(rng.randrange(2, 9))] for _ in range(200)]
+    texts = ["\n".join([*a, *rng.choice(own)]) for a in own]
+    stored = lambda: sum(p.stat().st_size for p in Path(shared_folder(spark)).rglob("*.parquet"))
+    before = stored()
+    assert corpus_pipeline.line_chunks(spark, docs_of(texts), "").count() > 100
+    assert sum(map(len, texts)) < stored() - before < 1.3 * sum(map(len, texts))
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame(
         [(s, g, t, float(100 + 37 * (i % 7))) for i, (s, g, t) in enumerate(itertools.product("abc", ("en", "de"), ("x", "y")))],
